@@ -55,8 +55,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Reliable checkpoint, so that a lost executor costs a re-read and not a
-    replay of every iteration."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write a frame to the shared folder and read it back.
+
+    A lost executor then costs a re-read and not a replay of every step before.
+    Reading back also gives the optimizer true sizes: the estimate of a
+    checkpointed join keeps multiplying from step to step.
+    """
+    path = scratch_path(df.sparkSession, "step")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
