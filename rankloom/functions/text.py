@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rankloom.functions import wordlists as W
@@ -28,7 +28,9 @@ CLEAN_STEPS = [
 TOKEN_SPLITS = {"cannot": "can not", "gonna": "gon na", "gotta": "got ta", "wanna": "wan na", "gimme": "gim me", "lemme": "lem me"}
 
 # Everything Python's str.split() treats as white space.
-WHITE = r"[\s\x0B\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
+WHITE_SET = r"\s\x0B\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+WHITE = f"[{WHITE_SET}]+"
+NOT_WHITE = f"[^{WHITE_SET}]+"
 WORD2 = r"[a-z0-9_]{2,}"
 SENTENCE_END = r"[.!?]+"
 VOWELS = r"[aeiouy]+"
@@ -78,7 +80,7 @@ def clean_text(text: Column, lemmatise: bool = True, stop_words=W.STOP_WORDS) ->
     """Scrub, tokenise, drop stop words, optionally lemmatise, join with blanks."""
     tokens = drop_stop_words(scrubbed_tokens(text), stop_words)
     if lemmatise:
-        tokens = F.transform(tokens, lemma)
+        tokens = F.transform(tokens, lambda t: lemma(t))
     return F.array_join(tokens, " ")
 
 
@@ -88,7 +90,7 @@ def split_words(text: Column) -> Column:
 
 
 def word_count(text: Column) -> Column:
-    return F.size(split_words(text)).cast("bigint")
+    return F.regexp_count(text, F.lit(NOT_WHITE)).cast("bigint")
 
 
 def word_tokens(text: Column, stop_words=()) -> Column:
@@ -113,12 +115,6 @@ def ngrams(tokens: Column, lo: int, hi: int) -> Column:
     return parts[0] if len(parts) == 1 else F.concat(*parts)
 
 
-def jaccard(a: Column, b: Column) -> Column:
-    """Share of common elements of two arrays taken as sets; both empty gives 0."""
-    both = F.size(F.array_intersect(a, b))
-    return F.coalesce(F.try_divide(both.cast("double"), F.size(F.array_union(a, b)).cast("double")), F.lit(0.0))
-
-
 def reading_ease(text: Column) -> Column:
     """Flesch reading ease on counted sentence ends and vowel groups; 0 for no words."""
     words = word_count(text)
@@ -176,9 +172,6 @@ def html_text(html: Column) -> Column:
     return F.trim(reduce(lambda c, s: F.regexp_replace(c, s[0], s[1]), steps, html))
 
 
-HTML_STEPS_DOC = "script, style, comment, tag, entity, white space"
-
-
 def title_case_name(filename: Column, fallback: Column) -> Column:
     """Candidate name from a file name: extension off, ``_`` and ``-`` to blanks,
     every word capitalised; the fallback where nothing is left."""
@@ -195,24 +188,33 @@ def month_of(text: Column, default: str) -> Column:
     return F.coalesce(F.date_format(day, "yyyy-MM"), F.lit(default))
 
 
-def split_sections(text: Column, headings=W.SECTION_HEADINGS) -> Column:
-    """CV text to a struct of section bodies, cut at heading lines.
+def split_sections(df: DataFrame, text: str, headings=W.SECTION_HEADINGS) -> DataFrame:
+    """Add one column per CV section, cut at heading lines.
 
     Heading lines become markers, the text is split at the markers once, and
     each section joins its own pieces: linear in the text, no shuffle and no
     window. Text before the first heading counts as ``misc``.
     """
     # Doubling the newlines gives every line its own pair of delimiters.
-    lines = F.concat(F.lit("\n"), F.replace(F.replace(text, F.lit("\r"), F.lit("")), F.lit("\n"), F.lit("\n\n")), F.lit("\n"))
+    lines = F.replace(F.replace(F.col(text), F.lit("\r"), F.lit("")), F.lit("\n"), F.lit("\n\n"))
+    lines = F.concat(F.lit("\n"), lines, F.lit("\n"))
     for name, words in headings.items():
         lines = F.regexp_replace(lines, rf"(?i)\n[ \t]*({words})[ \t]*:?[ \t]*\n", f"\u0001{name}\u0002")
     chunks = F.split(F.concat(F.lit("misc\u0002"), lines), "\u0001")
 
     def body(name: str) -> Column:
-        own = F.filter(chunks, lambda c: c.startswith(f"{name}\u0002"))
-        texts = F.transform(own, lambda c: F.trim(F.replace(F.substring_index(c, "\u0002", -1), F.lit("\n\n"), F.lit("\n"))))
-        # Line ends at the edges of a piece belong to the cut, not to the text.
+        own = F.filter("_chunks", lambda c: c.startswith(f"{name}\u0002"))
+        texts = F.transform(own, lambda c: F.replace(F.substring_index(c, "\u0002", -1), F.lit("\n\n"), F.lit("\n")))
+        # White space at the edges of a piece belongs to the cut, not to the text.
         texts = F.transform(texts, lambda c: F.regexp_replace(c, r"^\s+|\s+$", ""))
         return F.array_join(F.filter(texts, lambda c: c != ""), "\n").alias(name)
 
-    return F.struct(*[body(n) for n in headings])
+    return df.withColumn("_chunks", chunks).select(*df.columns, *[body(n) for n in headings])
+
+
+def with_ngrams(df: DataFrame, text: str, out: str, lo: int = 1, hi: int = 1, stop_words=(), clean: bool = True, lemmatise: bool = True) -> DataFrame:
+    """Add the n-grams of a text. Tokens are a column of their own first: an
+    expression used more than once inside lambdas would be computed each time."""
+    source = clean_text(F.col(text), lemmatise) if clean else F.col(text)
+    tokens = df.withColumn("_tokens", word_tokens(source, stop_words))
+    return tokens.withColumn(out, ngrams(F.col("_tokens"), lo, hi)).drop("_tokens")

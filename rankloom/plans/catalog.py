@@ -6,7 +6,7 @@ import importlib
 
 from rankloom.plans.registry import ORACLES, QUERIES
 
-MODULES = ["catalog_tables", "catalog_ranking"]
+MODULES = ["catalog_tables", "catalog_ranking", "catalog_text"]
 for _m in MODULES:
     importlib.import_module(f"rankloom.plans.{_m}")
 
