@@ -127,15 +127,27 @@ def lookup_join(
 ) -> DataFrame:
     """Inner join of many rows to a lookup table with one row per key.
 
-    Within the size limit the table is broadcast. Beyond it, the ``hot_keys``
-    most frequent keys of ``big`` take their lookup rows by broadcast (a fixed
-    number of rows) and never shuffle; the others meet in a shuffle join, where
-    no key is frequent any more.
+    The table is broadcast only if its size is within the limit. Estimates of
+    derived plans are loose (a join counts as the product of its sides), so a
+    table that looks too large is written out once and measured. One that is too
+    large takes the second way: the ``hot_keys`` most frequent keys of ``big``
+    find their rows by broadcast, a fixed number of rows; in the one shuffle join
+    for the others, rows already served are spread by their own hash, so no
+    partition holds a frequent key.
     """
+    if planned_bytes(small) > limit_bytes:
+        from rankloom.session import cut_lineage
+
+        small = cut_lineage(small)
     if planned_bytes(small) <= limit_bytes:
         return big.join(F.broadcast(small), on)
-    heavy = big.groupBy(*on).count().orderBy(F.desc("count"), *on).limit(hot_keys).select(*on)
-    hot_rows = F.broadcast(small.join(F.broadcast(heavy), on, "left_semi"))
-    rest = big.join(F.broadcast(heavy), on, "left_anti")
-    cold = small.join(F.broadcast(heavy), on, "left_anti")
-    return big.join(hot_rows, on).unionByName(rest.join(cold, on))
+    values = [c for c in small.columns if c not in on]
+    packed = small.select(*on, F.struct(F.lit(1).alias("_found"), *values).alias("_value"))
+    heavy = F.broadcast(big.groupBy(*on).count().orderBy(F.desc("count"), *on).limit(hot_keys).select(*on))
+    hot = F.broadcast(packed.join(heavy, on, "left_semi").withColumnRenamed("_value", "_hot"))
+    spread = F.when(F.col("_hot").isNull(), F.lit(0).cast("bigint")).otherwise(F.xxhash64(*big.columns))
+    marked = big.join(hot, on, "left").withColumn("_spread", spread)
+    cold = packed.withColumn("_spread", F.lit(0).cast("bigint"))
+    met = marked.join(cold, [*on, "_spread"], "left").withColumn("_row", F.coalesce("_hot", "_value"))
+    others = [c for c in big.columns if c not in on]
+    return met.filter(F.col("_row").isNotNull()).select(*on, *others, *[F.col("_row")[v].alias(v) for v in values])
