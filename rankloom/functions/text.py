@@ -212,9 +212,8 @@ def split_sections(df: DataFrame, text: str, headings=W.SECTION_HEADINGS) -> Dat
     return df.withColumn("_chunks", chunks).select(*df.columns, *[body(n) for n in headings])
 
 
-def with_ngrams(df: DataFrame, text: str, out: str, lo: int = 1, hi: int = 1, stop_words=(), clean: bool = True, lemmatise: bool = True) -> DataFrame:
-    """Add the n-grams of a text. Tokens are a column of their own first: an
-    expression used more than once inside lambdas would be computed each time."""
+def with_tokens(df: DataFrame, text: str, out: str = "tokens", stop_words=(), clean: bool = True, lemmatise: bool = True) -> DataFrame:
+    """Add the word tokens of a text as a column of its own: an expression used more
+    than once inside lambdas would be computed each time."""
     source = clean_text(F.col(text), lemmatise) if clean else F.col(text)
-    tokens = df.withColumn("_tokens", word_tokens(source, stop_words))
-    return tokens.withColumn(out, ngrams(F.col("_tokens"), lo, hi)).drop("_tokens")
+    return df.withColumn(out, word_tokens(source, stop_words))

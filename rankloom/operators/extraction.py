@@ -47,13 +47,12 @@ def overlap_ratio(a: Column, b: Column) -> Column:
     return overlap(a, b) / (F.size(F.array_union(a, b)) + F.lit(1e-5))
 
 
-def pair_overlap(pairs: DataFrame, lexicon: DataFrame, kinds: tuple[str, ...] = W.ENTITY_KINDS) -> DataFrame:
+def pair_overlap(pairs: DataFrame, jobs: DataFrame, lexicon: DataFrame, kinds: tuple[str, ...] = W.ENTITY_KINDS) -> DataFrame:
     """Entity overlap of every pair: in all, as a ratio and per kind. Postings are
     matched once each."""
     names = [k.lower() for k in kinds]
     mine = lexicon_matches(pairs.select("pair_id", "job_id", "resume_text"), "pair_id", F.col("resume_text"), lexicon, list(kinds))
-    posts = pairs.groupBy("job_id").agg(F.first("job_description_text").alias("_text"))
-    theirs = lexicon_matches(posts, "job_id", F.col("_text"), lexicon, list(kinds)).select("job_id", *[F.col(n).alias(f"_j_{n}") for n in names])
+    theirs = lexicon_matches(jobs.select("job_id", "job_text"), "job_id", F.col("job_text"), lexicon, list(kinds)).select("job_id", *[F.col(n).alias(f"_j_{n}") for n in names])
     both = lookup_join(mine.drop("resume_text"), theirs, ["job_id"])
     all_r, all_j = F.concat(*[F.col(n) for n in names]), F.concat(*[F.col(f"_j_{n}") for n in names])
     return both.select(

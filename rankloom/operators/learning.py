@@ -54,22 +54,22 @@ def fit_score_model(training: DataFrame, trees: int = 100, depth: int = 4, step:
     return boosted_trees(SCORE_FEATURES, trees=trees, depth=depth, step=step).fit(training)
 
 
-def pair_features(pairs: DataFrame, lexicon: DataFrame) -> DataFrame:
+def pair_features(pairs: DataFrame, jobs: DataFrame, lexicon: DataFrame) -> DataFrame:
     """The seven similarity, length, readability and entity features of labelled
     pairs, with the binary label. Posting features are computed once per posting."""
-    resume, text = F.col("resume_text"), F.col("_text")
+    resume, text = F.col("resume_text"), F.col("job_text")
     own = pairs.select(
         "pair_id", "job_id", "label", T.word_count(resume).alias("resume_length"), T.reading_ease(resume).alias("resume_readability")
     )
-    posts = pairs.groupBy("job_id").agg(F.first("job_description_text").alias("_text")).select(
+    posts = jobs.select(
         "job_id", T.word_count(text).alias("jd_length"), T.reading_ease(text).alias("jd_readability")
     )
-    cos = I.pair_tfidf_cosine(pairs, I.pair_tfidf(pairs, stop_words=W.STOP_WORDS))
+    cos = I.pair_tfidf_cosine(pairs, I.pair_tfidf(pairs, jobs, stop_words=W.STOP_WORDS))
     return (
         lookup_join(own, posts, ["job_id"])
-        .join(I.ngram_jaccard(pairs), "pair_id")
+        .join(I.ngram_jaccard(pairs, jobs), "pair_id")
         .join(cos, "pair_id")
-        .join(E.pair_overlap(pairs, lexicon).select("pair_id", "entity_overlap"), "pair_id")
+        .join(E.pair_overlap(pairs, jobs, lexicon).select("pair_id", "entity_overlap"), "pair_id")
     )
 
 

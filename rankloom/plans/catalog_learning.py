@@ -141,7 +141,7 @@ def l4(spark, d):
 @query("l5_pair_classifier")
 def l5(spark, d):
     pairs = X.pairs(spark, d)
-    feats = G.pair_features(pairs.filter(F.col("label") != "Potential Fit"), X.lexicon(spark, d)).withColumn("label", L.numeric_target(F.col("label")))
+    feats = G.pair_features(pairs.filter(F.col("label") != "Potential Fit"), X.jobs(spark, d), X.lexicon(spark, d)).withColumn("label", L.numeric_target(F.col("label")))
     cut = cut_lineage(L.exact_split(feats, "pair_id"))
     model = G.boosted_trees(G.PAIR_FEATURES, trees=10).fit(cut.filter("split = 'train'"))
     pred = cut_lineage(G.with_probability(model, cut.filter("split = 'test'"), "score").withColumnRenamed("label", "y"))

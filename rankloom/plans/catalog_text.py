@@ -93,8 +93,8 @@ def e3(spark, d):
     "SELECT job_id, gram, count(*) AS n FROM g GROUP BY job_id, gram",
 )
 def e4(spark, d):
-    rows = T.with_ngrams(X.jobs(spark, d), "job_text", "grams", 2, 3, stop_words=W.STOP_WORDS)
-    return rows.select("job_id", F.explode("grams").alias("gram")).groupBy("job_id", "gram").agg(F.count("*").alias("n"))
+    rows = T.with_tokens(X.jobs(spark, d), "job_text", stop_words=W.STOP_WORDS)
+    return rows.select("job_id", F.explode(T.ngrams(F.col("tokens"), 2, 3)).alias("gram")).groupBy("job_id", "gram").agg(F.count("*").alias("n"))
 
 
 def sql_tfidf(docs: str, grams: str, max_features: int | None) -> str:
@@ -120,7 +120,7 @@ PAIR_DOCS_STOPPED = f"""SELECT 'resume' AS side, pair_id AS doc_id, {sql_words(s
     f"WITH {sql_tfidf(PAIR_DOCS_STOPPED, sql_grams('tok', 1, 2), 5000)} SELECT side, doc_id, term, round(weight, 6) AS weight FROM weights",
 )
 def e5(spark, d):
-    w = I.pair_tfidf(X.pairs(spark, d), 5000, lo=1, hi=2, stop_words=W.STOP_WORDS)
+    w = I.pair_tfidf(X.pairs(spark, d), X.jobs(spark, d), 5000, lo=1, hi=2, stop_words=W.STOP_WORDS)
     return w.select("side", "doc_id", "term", F.round("weight", 6).alias("weight"))
 
 
@@ -130,9 +130,9 @@ def e5(spark, d):
     SELECT doc_id AS resume_id, term, round(weight, 6) AS weight FROM weights""",
 )
 def e6(spark, d):
-    docs = X.resumes(spark, d).select("resume_id", "resume_text")
-    counts = I.term_counts(T.with_ngrams(docs, "resume_text", "grams", lemmatise=False), ["resume_id"], F.col("grams"))
-    w = I.tfidf_weights(counts, ["resume_id"], I.with_idf(I.vocabulary(counts), docs))
+    docs = X.resumes(spark, d).select("resume_id", "resume_text", F.lit(1).cast("bigint").alias("uses"))
+    counts = I.term_counts(T.with_tokens(docs, "resume_text", lemmatise=False).drop("resume_text"), ["resume_id"], F.col("tokens"))
+    w = I.tfidf_weights(counts, ["resume_id"], I.with_idf(I.vocabulary(counts), docs.agg(F.count("*")).scalar()))
     return w.select("resume_id", "term", F.round("weight", 6).alias("weight"))
 
 
@@ -141,9 +141,7 @@ def e6(spark, d):
     f"WITH {sql_tfidf(PAIR_DOCS_STOPPED, sql_grams('tok', 1, 2), 5000)} SELECT term, corpus_tf::BIGINT AS corpus_tf, df::BIGINT AS df FROM vocab",
 )
 def e7(spark, d):
-    docs = I.pair_documents(X.pairs(spark, d))
-    grams = T.with_ngrams(docs, "text", "grams", 1, 2, stop_words=W.STOP_WORDS)
-    return I.vocabulary(I.term_counts(grams, ["side", "doc_id"], F.col("grams"), F.col("uses")), 5000)
+    return I.vocabulary(I.pair_term_counts(X.pairs(spark, d), X.jobs(spark, d), 1, 2, stop_words=W.STOP_WORDS), 5000)
 
 
 @query("e8_stop_words", f"SELECT job_id, array_to_string({sql_words('job_text', True)}, ' ') AS kept FROM v_jobs")
@@ -175,10 +173,10 @@ def e10(spark, d):
 
 @query("e11_word2vec_means")
 def e11(spark, d):
-    docs = I.pair_documents(X.pairs(spark, d)).withColumn("tokens", T.split_words(F.col("text")))
+    docs = I.pair_documents(X.pairs(spark, d), X.jobs(spark, d)).withColumn("tokens", T.split_words(F.col("text")))
     model = I.word_vectors(docs.select("tokens"))
     docs = docs.withColumn("key", F.concat_ws(":", "side", F.col("doc_id").cast("string")))
-    means = I.mean_vectors(docs, "key", F.col("tokens"), model.getVectors(), 100)
+    means = I.mean_vectors(docs, "key", "tokens", model.getVectors(), 100)
     return means.select("key", F.size("embedding").alias("dim"), F.round(F.element_at("embedding", 1), 6).alias("first_value"))
 
 
@@ -193,7 +191,7 @@ def e11(spark, d):
 )
 def d3(spark, d):
     pairs = X.pairs(spark, d)
-    cos = I.pair_tfidf_cosine(pairs, I.pair_tfidf(pairs, stop_words=W.STOP_WORDS))
+    cos = I.pair_tfidf_cosine(pairs, I.pair_tfidf(pairs, X.jobs(spark, d), stop_words=W.STOP_WORDS))
     return cos.select("pair_id", F.round("tfidf_cosine", 6).alias("tfidf_cosine"))
 
 
@@ -205,7 +203,7 @@ def d3(spark, d):
       (length(a) + length(b) - length(list_intersect(a, b))) END, 6) AS jaccard FROM g""",
 )
 def d4(spark, d):
-    return I.ngram_jaccard(X.pairs(spark, d)).select("pair_id", F.round("jaccard", 6).alias("jaccard"))
+    return I.ngram_jaccard(X.pairs(spark, d), X.jobs(spark, d)).select("pair_id", F.round("jaccard", 6).alias("jaccard"))
 
 
 # ---- entities, skills, profiles ----------------------------------------------------------------
@@ -230,7 +228,7 @@ ENTS = f"""ents AS (SELECT pair_id, list_intersect(list_distinct({sql_words('res
     round(length(list_intersect(r, j)) / (length(list_distinct(list_concat(r, j))) + 0.00001::DOUBLE), 6) AS entity_overlap_ratio FROM ents""",
 )
 def e13(spark, d):
-    return E.pair_overlap(X.pairs(spark, d), X.lexicon(spark, d)).select("pair_id", "entity_overlap", "entity_overlap_ratio")
+    return E.pair_overlap(X.pairs(spark, d), X.jobs(spark, d), X.lexicon(spark, d)).select("pair_id", "entity_overlap", "entity_overlap_ratio")
 
 
 @query(
@@ -240,7 +238,7 @@ def e13(spark, d):
     FROM ents e LEFT JOIN k ON k.pair_id = e.pair_id GROUP BY e.pair_id""",
 )
 def e14(spark, d):
-    return E.pair_overlap(X.pairs(spark, d), X.lexicon(spark, d)).select("pair_id", "org_overlap", "gpe_overlap", "norp_overlap")
+    return E.pair_overlap(X.pairs(spark, d), X.jobs(spark, d), X.lexicon(spark, d)).select("pair_id", "org_overlap", "gpe_overlap", "norp_overlap")
 
 
 def _sql_redact() -> tuple[str, str]:
@@ -389,8 +387,8 @@ def e19(spark, d):
     SELECT v.resume_id, v.slot, round(v.v / n.norm, 6) AS value FROM v JOIN (SELECT resume_id, sqrt(sum(v * v)) AS norm FROM v GROUP BY resume_id) n ON n.resume_id = v.resume_id WHERE v.v <> 0""",
 )
 def e21(spark, d):
-    docs = X.resumes(spark, d).select("resume_id", "resume_text")
-    v = I.hashed_vectors(docs, "resume_id", T.word_tokens(F.col("resume_text")))
+    docs = X.resumes(spark, d).select("resume_id", T.word_tokens(F.col("resume_text")).alias("tokens"))
+    v = I.hashed_vectors(docs, "resume_id", "tokens")
     return v.select("resume_id", F.posexplode("embedding").alias("slot", "value")).filter("value <> 0").withColumn("value", F.round("value", 6))
 
 

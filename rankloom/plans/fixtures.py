@@ -164,8 +164,9 @@ def predictions(spark: SparkSession, d: str) -> DataFrame:
 
 def lexicon(spark: SparkSession, d: str, size: int = 200) -> DataFrame:
     """Term list of a fixed size, typed by hash: the test text is invented, so
-    its lexicon is taken from the postings themselves."""
+    its lexicon is taken from the postings themselves, and written once."""
     from rankloom.functions.text import word_tokens
+    from rankloom.session import cut_lineage
 
     kinds = F.array(F.lit("ORG"), F.lit("GPE"), F.lit("NORP"))
     counted = (
@@ -177,4 +178,4 @@ def lexicon(spark: SparkSession, d: str, size: int = 200) -> DataFrame:
         .orderBy(F.desc("count"), "token")
         .limit(size)
     )
-    return counted.select("token", F.element_at(kinds, (hash32("kind", "token") % 3 + 1).cast("int")).alias("kind"))
+    return cut_lineage(counted.select("token", F.element_at(kinds, (hash32("kind", "token") % 3 + 1).cast("int")).alias("kind")))

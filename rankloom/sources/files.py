@@ -43,19 +43,27 @@ def _skipped(name: str, wanted: tuple[str, ...]) -> bool:
     return system or not name.lower().endswith(wanted)
 
 
-def expand_zips(archives: DataFrame, wanted: tuple[str, ...] = (".pdf",)) -> DataFrame:
+def expand_zips(archives: DataFrame, wanted: tuple[str, ...] = (".pdf",), chunk_bytes: int = 8 << 20) -> DataFrame:
     """One row per archive member; skipped members keep their name and lose
-    their bytes. Members are read and handed over one at a time, so an archive
+    their bytes. Rows are handed over in chunks of some megabytes, so an archive
     never sits unpacked in memory as a whole."""
+    columns = ["archive", "member", "skipped", "content"]
 
     def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows, held = [], 0
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"]):
                 with zipfile.ZipFile(io.BytesIO(content)) as z:
                     for member in z.infolist():
                         skip = _skipped(member.filename, wanted)
                         data = None if skip else z.read(member)
-                        yield pd.DataFrame({"archive": [path], "member": [member.filename], "skipped": [skip], "content": [data]})
+                        rows.append((path, member.filename, skip, data))
+                        held += len(data or b"") + 100
+                        if held >= chunk_bytes:
+                            yield pd.DataFrame(rows, columns=columns)
+                            rows, held = [], 0
+        if rows:
+            yield pd.DataFrame(rows, columns=columns)
 
     return archives.select("path", "content").mapInPandas(unpack, "archive string, member string, skipped boolean, content binary")
 
