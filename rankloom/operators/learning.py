@@ -64,10 +64,11 @@ def pair_features(pairs: DataFrame, jobs: DataFrame, lexicon: DataFrame) -> Data
     posts = jobs.select(
         "job_id", T.word_count(text).alias("jd_length"), T.reading_ease(text).alias("jd_readability")
     )
-    cos = I.pair_tfidf_cosine(pairs, I.pair_tfidf(pairs, jobs, stop_words=W.STOP_WORDS))
+    tokens = I.pair_tokens(pairs, jobs, stop_words=W.STOP_WORDS)
+    cos = I.pair_tfidf_cosine(tokens, I.pair_tfidf(tokens))
     return (
         lookup_join(own, posts, ["job_id"])
-        .join(I.ngram_jaccard(pairs, jobs), "pair_id")
+        .join(I.ngram_jaccard(tokens), "pair_id")
         .join(cos, "pair_id")
         .join(E.pair_overlap(pairs, jobs, lexicon).select("pair_id", "entity_overlap"), "pair_id")
     )

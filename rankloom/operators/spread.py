@@ -151,3 +151,16 @@ def lookup_join(
     met = marked.join(cold, [*on, "_spread"], "left").withColumn("_row", F.coalesce("_hot", "_value"))
     others = [c for c in big.columns if c not in on]
     return met.filter(F.col("_row").isNotNull()).select(*on, *others, *[F.col("_row")[v].alias(v) for v in values])
+
+
+def spread_small(df: DataFrame, *keys: str, task_bytes: int = 8 << 20) -> DataFrame:
+    """Spread a small table over the cores before heavy work per row.
+
+    A table of a few megabytes sits in one file and one task. A table with more
+    than ``task_bytes`` per core has splits enough and is left where it is, so a
+    large one is never shuffled for this.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if planned_bytes(df) >= cores * task_bytes:
+        return df
+    return df.repartition(cores, *keys)

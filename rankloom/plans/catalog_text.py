@@ -11,6 +11,7 @@ from rankloom.operators import extraction as E
 from rankloom.operators import terms as I
 from rankloom.plans import fixtures as X
 from rankloom.plans.registry import query
+from rankloom.session import cut_lineage
 from rankloom.sources.files import page_text
 from rankloom.sources.tables import rows_of
 
@@ -74,12 +75,12 @@ def sql_grams(tok: str, lo: int, hi: int) -> str:
 
 @query("e1_clean_text", f"SELECT resume_id, {sql_clean('resume_text')} AS cleaned FROM v_resumes")
 def e1(spark, d):
-    return X.resumes(spark, d).select("resume_id", T.clean_text(F.col("resume_text")).alias("cleaned"))
+    return X.texts(spark, d).select("resume_id", T.clean_text(F.col("resume_text")).alias("cleaned"))
 
 
 @query("e2_clean_text_plain", f"SELECT resume_id, {sql_clean('resume_text', False)} AS cleaned FROM v_resumes")
 def e2(spark, d):
-    return X.resumes(spark, d).select("resume_id", T.clean_text(F.col("resume_text"), lemmatise=False).alias("cleaned"))
+    return X.texts(spark, d).select("resume_id", T.clean_text(F.col("resume_text"), lemmatise=False).alias("cleaned"))
 
 
 @query("e3_token_counts", f"SELECT resume_id, length(list_filter(regexp_split_to_array(resume_text, {q(T.WHITE)}), lambda t: t <> '')) AS resume_length FROM v_resumes")
@@ -87,6 +88,10 @@ def e3(spark, d):
     return X.resumes(spark, d).select("resume_id", T.word_count(F.col("resume_text")).alias("resume_length"))
 
 
+def pair_tokens(spark, d):
+    return I.pair_tokens(X.pairs(spark, d), X.jobs(spark, d), stop_words=W.STOP_WORDS)
+
+
 @query(
     "e4_ngrams",
     f"WITH c AS (SELECT job_id, {sql_words(sql_clean('job_text'), True)} AS tok FROM v_jobs), g AS (SELECT job_id, unnest({sql_grams('tok', 2, 3)}) AS gram FROM c) "
@@ -120,7 +125,7 @@ PAIR_DOCS_STOPPED = f"""SELECT 'resume' AS side, pair_id AS doc_id, {sql_words(s
     f"WITH {sql_tfidf(PAIR_DOCS_STOPPED, sql_grams('tok', 1, 2), 5000)} SELECT side, doc_id, term, round(weight, 6) AS weight FROM weights",
 )
 def e5(spark, d):
-    w = I.pair_tfidf(X.pairs(spark, d), X.jobs(spark, d), 5000, lo=1, hi=2, stop_words=W.STOP_WORDS)
+    w = I.pair_tfidf(pair_tokens(spark, d), 5000, lo=1, hi=2)
     return w.select("side", "doc_id", "term", F.round("weight", 6).alias("weight"))
 
 
@@ -130,8 +135,9 @@ def e5(spark, d):
     SELECT doc_id AS resume_id, term, round(weight, 6) AS weight FROM weights""",
 )
 def e6(spark, d):
-    docs = X.resumes(spark, d).select("resume_id", "resume_text", F.lit(1).cast("bigint").alias("uses"))
-    counts = I.term_counts(T.with_tokens(docs, "resume_text", lemmatise=False).drop("resume_text"), ["resume_id"], F.col("tokens"))
+    docs = X.texts(spark, d).select("resume_id", "resume_text", F.lit(1).cast("bigint").alias("uses"))
+    docs = cut_lineage(T.with_tokens(docs, "resume_text", lemmatise=False).drop("resume_text"))
+    counts = I.term_counts(docs, ["resume_id"], F.col("tokens"))
     w = I.tfidf_weights(counts, ["resume_id"], I.with_idf(I.vocabulary(counts), docs.agg(F.count("*")).scalar()))
     return w.select("resume_id", "term", F.round("weight", 6).alias("weight"))
 
@@ -141,7 +147,7 @@ def e6(spark, d):
     f"WITH {sql_tfidf(PAIR_DOCS_STOPPED, sql_grams('tok', 1, 2), 5000)} SELECT term, corpus_tf::BIGINT AS corpus_tf, df::BIGINT AS df FROM vocab",
 )
 def e7(spark, d):
-    return I.vocabulary(I.pair_term_counts(X.pairs(spark, d), X.jobs(spark, d), 1, 2, stop_words=W.STOP_WORDS), 5000)
+    return I.vocabulary(I.pair_term_counts(pair_tokens(spark, d), 1, 2), 5000)
 
 
 @query("e8_stop_words", f"SELECT job_id, array_to_string({sql_words('job_text', True)}, ' ') AS kept FROM v_jobs")
@@ -154,7 +160,7 @@ def e8(spark, d):
     f"WITH w AS (SELECT DISTINCT unnest({sql_words('resume_text')}) AS t FROM v_resumes) SELECT t AS word, {LEMMA} AS lemma FROM w",
 )
 def e9(spark, d):
-    words = X.resumes(spark, d).select(F.explode(F.array_distinct(T.word_tokens(F.col("resume_text")))).alias("word")).distinct()
+    words = X.texts(spark, d).select(F.explode(F.array_distinct(T.word_tokens(F.col("resume_text")))).alias("word")).distinct()
     return words.withColumn("lemma", T.lemma(F.col("word")))
 
 
@@ -168,12 +174,12 @@ EASE = """round(CASE WHEN words = 0 THEN 0.0 ELSE 206.835::DOUBLE - 1.015::DOUBL
       length(regexp_extract_all(resume_text, '[.!?]+')) AS ends, length(regexp_extract_all(lower(resume_text), '[aeiouy]+')) AS vowels FROM v_resumes)""",
 )
 def e10(spark, d):
-    return X.resumes(spark, d).select("resume_id", F.round(T.reading_ease(F.col("resume_text")), 6).alias("resume_readability"))
+    return X.texts(spark, d).select("resume_id", F.round(T.reading_ease(F.col("resume_text")), 6).alias("resume_readability"))
 
 
 @query("e11_word2vec_means")
 def e11(spark, d):
-    docs = I.pair_documents(X.pairs(spark, d), X.jobs(spark, d)).withColumn("tokens", T.split_words(F.col("text")))
+    docs = I.pair_tokens(X.pairs(spark, d), X.jobs(spark, d), clean=False)
     model = I.word_vectors(docs.select("tokens"))
     docs = docs.withColumn("key", F.concat_ws(":", "side", F.col("doc_id").cast("string")))
     means = I.mean_vectors(docs, "key", "tokens", model.getVectors(), 100)
@@ -190,8 +196,8 @@ def e11(spark, d):
       JOIN weights j ON j.side = 'job' AND j.doc_id = p.job_id AND j.term = r.term GROUP BY p.pair_id) x ON x.pair_id = p.pair_id""",
 )
 def d3(spark, d):
-    pairs = X.pairs(spark, d)
-    cos = I.pair_tfidf_cosine(pairs, I.pair_tfidf(pairs, X.jobs(spark, d), stop_words=W.STOP_WORDS))
+    tokens = pair_tokens(spark, d)
+    cos = I.pair_tfidf_cosine(tokens, I.pair_tfidf(tokens))
     return cos.select("pair_id", F.round("tfidf_cosine", 6).alias("tfidf_cosine"))
 
 
@@ -203,7 +209,7 @@ def d3(spark, d):
       (length(a) + length(b) - length(list_intersect(a, b))) END, 6) AS jaccard FROM g""",
 )
 def d4(spark, d):
-    return I.ngram_jaccard(X.pairs(spark, d), X.jobs(spark, d)).select("pair_id", F.round("jaccard", 6).alias("jaccard"))
+    return I.ngram_jaccard(pair_tokens(spark, d)).select("pair_id", F.round("jaccard", 6).alias("jaccard"))
 
 
 # ---- entities, skills, profiles ----------------------------------------------------------------
@@ -214,7 +220,7 @@ def d4(spark, d):
     f"""SELECT resume_id, array_to_string(list_sort(list_intersect(list_distinct({sql_words('resume_text')}), (SELECT list(token) FROM v_lexicon WHERE kind IN ('ORG', 'GPE', 'NORP')))), ',') AS entities FROM v_resumes""",
 )
 def e12(spark, d):
-    found = E.lexicon_matches(X.resumes(spark, d).select("resume_id", "resume_text"), "resume_id", F.col("resume_text"), X.lexicon(spark, d))
+    found = E.lexicon_matches(X.texts(spark, d).select("resume_id", "resume_text"), "resume_id", F.col("resume_text"), X.lexicon(spark, d))
     return found.select("resume_id", F.array_join("found", ",").alias("entities"))
 
 
@@ -252,7 +258,7 @@ def _sql_redact() -> tuple[str, str]:
 @query("e15_redaction", f"SELECT resume_id, {_sql_redact()[0]} AS redacted, {_sql_redact()[1]} FROM v_resumes")
 def e15(spark, d):
     text = F.col("resume_text")
-    return X.resumes(spark, d).select("resume_id", T.redact(text).alias("redacted"), *[c.alias(n) for n, c in T.redaction_counts(text).items()])
+    return X.texts(spark, d).select("resume_id", T.redact(text).alias("redacted"), *[c.alias(n) for n, c in T.redaction_counts(text).items()])
 
 
 PRONOUN_CASE = "CASE t " + " ".join(f"WHEN {q(k)} THEN {q(v)}" for k, v in T.pronoun_table().items()) + " ELSE t END"
@@ -264,7 +270,7 @@ PRONOUN_CASE = "CASE t " + " ".join(f"WHEN {q(k)} THEN {q(v)}" for k, v in T.pro
 )
 def e16(spark, d):
     text = F.concat("resume_text", F.lit(" She met HIS boss; he thanked her."))
-    return X.resumes(spark, d).select("resume_id", T.neutral_pronouns(text).alias("neutral"))
+    return X.texts(spark, d).select("resume_id", T.neutral_pronouns(text).alias("neutral"))
 
 
 # Test texts hold no requirements, so lines that state some are added by rule.
@@ -296,7 +302,7 @@ def full_jobs(spark, d):
 
 
 def full_resumes(spark, d):
-    return X.resumes(spark, d).select("resume_id", "job_id", F.concat("resume_text", _added(CV_LINES, "resume_id")).alias("resume_text"))
+    return X.texts(spark, d).select("resume_id", "job_id", F.concat("resume_text", _added(CV_LINES, "resume_id")).alias("resume_text"))
 
 
 CUE = "(?i)preferred|nice to have|ation"
@@ -387,7 +393,7 @@ def e19(spark, d):
     SELECT v.resume_id, v.slot, round(v.v / n.norm, 6) AS value FROM v JOIN (SELECT resume_id, sqrt(sum(v * v)) AS norm FROM v GROUP BY resume_id) n ON n.resume_id = v.resume_id WHERE v.v <> 0""",
 )
 def e21(spark, d):
-    docs = X.resumes(spark, d).select("resume_id", T.word_tokens(F.col("resume_text")).alias("tokens"))
+    docs = X.texts(spark, d).select("resume_id", T.word_tokens(F.col("resume_text")).alias("tokens"))
     v = I.hashed_vectors(docs, "resume_id", "tokens")
     return v.select("resume_id", F.posexplode("embedding").alias("slot", "value")).filter("value <> 0").withColumn("value", F.round("value", 6))
 

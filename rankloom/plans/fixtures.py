@@ -69,6 +69,13 @@ def resumes(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def texts(spark: SparkSession, d: str) -> DataFrame:
+    """Resumes for work on their texts."""
+    from rankloom.operators.spread import spread_small
+
+    return spread_small(resumes(spark, d), "resume_id")
+
+
 def pairs(spark: SparkSession, d: str) -> DataFrame:
     from rankloom.operators.spread import lookup_join
 
@@ -76,7 +83,7 @@ def pairs(spark: SparkSession, d: str) -> DataFrame:
         F.col("doc_id").alias("resume_id"),
         F.when(F.col("toxic") == 1, "Potential Fit").when(F.col("quality") == 1, "Good Fit").otherwise("No Fit").alias("label"),
     )
-    labelled = resumes(spark, d).select("resume_id", "job_id", "resume_text").join(lab, "resume_id")
+    labelled = texts(spark, d).select("resume_id", "job_id", "resume_text").join(lab, "resume_id")
     return lookup_join(labelled, jobs(spark, d).select("job_id", "job_text"), ["job_id"]).select(
         F.col("resume_id").alias("pair_id"), "job_id", "resume_text", F.col("job_text").alias("job_description_text"), "label"
     )

@@ -13,10 +13,9 @@ from rankloom.operators import extraction as E
 from rankloom.operators import learning as G
 from rankloom.operators import matching as M
 from rankloom.operators import scoring as S
+from rankloom.session import cut_lineage
 from rankloom.streaming.arrivals import finalized
 
-CELL = 1 << 16
-
 
 def section_scores(profile: DataFrame, required: DataFrame) -> DataFrame:
     """Whole-point section scores from profile and requirements: shared skills,
@@ -46,7 +45,8 @@ def score_and_rank(resumes: DataFrame, jobs: DataFrame, lexicon: DataFrame, mode
     """Redact, profile, score against the posting, blend with the model's
     probability if there is one, rank. All postings in one job."""
     clean = resumes.select("resume_id", "job_id", redact(F.col("resume_text")).alias("resume_text"))
-    scored = S.overall(section_scores(E.profiles(clean, lexicon), E.requirements(jobs, lexicon)))
+    # The narrow scores are written once: ranking reads them twice, the texts never.
+    scored = cut_lineage(S.overall(section_scores(E.profiles(clean, lexicon), E.requirements(jobs, lexicon))))
     if model is not None:
         scored = G.with_probability(model, scored, "p").withColumn("overall", S.blend(F.col("overall"), F.col("p"))).drop("p", "yhat")
     return S.rank_resumes(scored)

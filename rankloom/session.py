@@ -25,6 +25,8 @@ def build_session(app: str = "rankloom", master: str | None = None, partitions:
         .config("spark.ui.enabled", "false")
     )
     if master:
+        # Small local tables still keep every core busy.
+        b = b.config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         b = b.master(master).config("spark.driver.memory", os.environ.get("RANKLOOM_DRIVER_MEMORY", "12g"))
     if partitions:
         b = b.config("spark.sql.shuffle.partitions", str(partitions))
