@@ -45,8 +45,9 @@ def sample_pairs(
         exact = F.floor(F.lit(share) * before).cast("bigint")
         if max_pairs is None:
             return exact
-        scaled = F.floor(before * F.least(F.lit(share), F.lit(float(max_pairs)) / F.col("_all"))).cast("bigint")
-        return F.when(F.col("_all") * share <= max_pairs, exact).otherwise(F.least(scaled, F.lit(max_pairs)))
+        scaled = F.floor(before * (F.lit(float(max_pairs)) / F.col("_all"))).cast("bigint")
+        capped = F.when(before >= F.col("_all"), F.lit(max_pairs)).otherwise(F.least(scaled, F.lit(max_pairs)))
+        return F.when(F.col("_all") * share <= max_pairs, exact).otherwise(capped)
 
     quotas = (
         placed.withColumn("_all", F.expr("n * (n - 1) div 2"))
