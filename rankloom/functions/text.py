@@ -30,7 +30,8 @@ TOKEN_SPLITS = {"cannot": "can not", "gonna": "gon na", "gotta": "got ta", "wann
 # Everything Python's str.split() treats as white space.
 WHITE_SET = r"\s\x0B\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 WHITE = f"[{WHITE_SET}]+"
-NOT_WHITE = f"[^{WHITE_SET}]+"
+# The same set under Unicode classes, which Java matches several times faster.
+NOT_WHITE = r"(?U)[^\s\x1C-\x1F]+"
 WORD2 = r"[a-z0-9_]{2,}"
 SENTENCE_END = r"[.!?]+"
 VOWELS = r"[aeiouy]+"

@@ -29,7 +29,7 @@ def lexicon_matches(docs: DataFrame, key: str, text: Column, lexicon: DataFrame,
         return docs.select("*", tokens.alias("_tokens")).select(
             *docs.columns, *[F.sort_array(F.array_intersect("_tokens", s)).alias(n) for n, s in sets.items()]
         )
-    terms = docs.select(key, F.explode(tokens).alias("token"))
+    terms = docs.select(key, F.explode_outer(tokens).alias("token")).filter(F.col("token").isNotNull())
     kind = F.lower("kind") if kinds else F.lit("found")
     hits = lookup_join(terms, lexicon.select("token", kind.alias("_kind")), ["token"])
     found = hits.groupBy(key).agg(

@@ -105,7 +105,7 @@ def ranking_pairs(rows: DataFrame, query: str, key: str, label: str, vector: str
     mine = lookup_join(placed.filter(F.col(label) == 1).select(query, key, F.col(vector).alias("_good")), sizes, [query])
     drawn = (
         mine.withColumn("_draws", F.least(F.col("_others"), F.lit(per_row)))
-        .withColumn("_i", F.explode(F.expr("sequence(0L, _draws - 1)")))
+        .withColumn("_i", F.explode_outer(F.expr("sequence(0L, _draws - 1)")))
         .withColumn("_pos", (F.expr("_i * _others div _draws") + hash32("ltr", key)) % F.col("_others") + 1)
     )
     met = drawn.join(others.select(query, "_pos", F.col(vector).alias("_bad"), F.col(key).alias("other")), [query, "_pos"])

@@ -58,7 +58,7 @@ def sample_pairs(
         .withColumn("_turn", hash32("pair", group, "pos") % F.greatest(F.col("_partners"), F.lit(1)))
         .filter("_quota > 0")
     )
-    drawn = quotas.withColumn("_i", F.explode(F.expr("sequence(0L, _quota - 1)"))).select(
+    drawn = quotas.withColumn("_i", F.explode_outer(F.expr("sequence(0L, _quota - 1)"))).select(
         group,
         "left_id",
         *[f"left_{c}" for c in carry],

@@ -99,7 +99,7 @@ def pair_tokens(spark, d):
 )
 def e4(spark, d):
     rows = T.with_tokens(X.jobs(spark, d), "job_text", stop_words=W.STOP_WORDS)
-    return rows.select("job_id", F.explode(T.ngrams(F.col("tokens"), 2, 3)).alias("gram")).groupBy("job_id", "gram").agg(F.count("*").alias("n"))
+    return rows.select("job_id", F.explode_outer(T.ngrams(F.col("tokens"), 2, 3)).alias("gram")).filter(F.col("gram").isNotNull()).groupBy("job_id", "gram").agg(F.count("*").alias("n"))
 
 
 def sql_tfidf(docs: str, grams: str, max_features: int | None) -> str:
@@ -160,7 +160,7 @@ def e8(spark, d):
     f"WITH w AS (SELECT DISTINCT unnest({sql_words('resume_text')}) AS t FROM v_resumes) SELECT t AS word, {LEMMA} AS lemma FROM w",
 )
 def e9(spark, d):
-    words = X.texts(spark, d).select(F.explode(F.array_distinct(T.word_tokens(F.col("resume_text")))).alias("word")).distinct()
+    words = X.texts(spark, d).select(F.explode_outer(F.array_distinct(T.word_tokens(F.col("resume_text")))).alias("word")).filter(F.col("word").isNotNull()).distinct()
     return words.withColumn("lemma", T.lemma(F.col("word")))
 
 

@@ -178,7 +178,7 @@ def lexicon(spark: SparkSession, d: str, size: int = 200) -> DataFrame:
     kinds = F.array(F.lit("ORG"), F.lit("GPE"), F.lit("NORP"))
     counted = (
         jobs(spark, d)
-        .select(F.explode(word_tokens(F.col("job_text"))).alias("token"))
+        .select(F.explode_outer(word_tokens(F.col("job_text"))).alias("token"))
         .filter(F.length("token") >= 3)
         .groupBy("token")
         .count()
