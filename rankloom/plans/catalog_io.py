@@ -214,11 +214,6 @@ def m6(spark, d):
 # ---- end-to-end flows --------------------------------------------------------------------
 
 
-@query("flow_score_and_rank")
-def flow_rank(spark, d):
-    return P.score_and_rank(X.texts(spark, d), X.jobs(spark, d), X.lexicon(spark, d)).select("resume_id", "job_id", "overall", "fit", "status")
-
-
 @query("flow_scores_from_answers", "SELECT resume_id, job_id, skills::DOUBLE AS skills, experience::DOUBLE AS experience, 50.0::DOUBLE AS education, 50.0::DOUBLE AS projects FROM v_scores")
 def flow_answers(spark, d):
     raw = F.to_json(F.struct(F.struct("skills", F.col("experience").cast("string").alias("experience"), F.lit("n/a").alias("education")).alias("scores")))

@@ -309,13 +309,19 @@ CUE = "(?i)preferred|nice to have|ation"
 SQL_DEGREE = "CASE " + " ".join(f"WHEN regexp_matches(lower({{t}}), {q(f'(^|[^a-z])({w})')}) THEN {q(label)}" for label, w in W.DEGREES) + " ELSE 'None' END"
 SQL_YEARS = "coalesce(list_max(list_transform(regexp_extract_all({t}, '([0-9]{{1,2}})\\+? years', 1), lambda y: y::BIGINT)), 0)"
 SQL_LEX = "(SELECT list(token) FROM v_lexicon)"
-FULL_JOBS = f"""full_jobs AS (SELECT *, list_filter(list_transform(regexp_split_to_array(job_text, '[.\\n]+'), lambda s: trim(s)), lambda s: s <> '') AS parts FROM
+
+
+def sql_full_jobs(cue: str) -> str:
+    return f"""full_jobs AS (SELECT *, list_filter(list_transform(regexp_split_to_array(job_text, '[.\\n]+'), lambda s: trim(s)), lambda s: s <> '') AS parts FROM
     (SELECT job_id, job_text || {_sql_added(JOB_LINES, 'job_id')} AS job_text FROM v_jobs)),
-    split_jobs AS (SELECT *, array_to_string(list_filter(parts, lambda s: NOT regexp_matches(s, {q(CUE)})), chr(10)) AS req,
-      array_to_string(list_filter(parts, lambda s: regexp_matches(s, {q(CUE)})), chr(10)) AS pref FROM full_jobs),
+    split_jobs AS (SELECT *, array_to_string(list_filter(parts, lambda s: NOT regexp_matches(s, {q(cue)})), chr(10)) AS req,
+      array_to_string(list_filter(parts, lambda s: regexp_matches(s, {q(cue)})), chr(10)) AS pref FROM full_jobs),
     skilled AS (SELECT *, list_intersect(list_distinct({sql_words('req')}), {SQL_LEX}) AS need, list_intersect(list_distinct({sql_words('pref')}), {SQL_LEX}) AS want FROM split_jobs)"""
 
 
+FULL_JOBS = sql_full_jobs(CUE)
+
+
 @query(
     "e17_requirements",
     f"""WITH {FULL_JOBS} SELECT job_id, array_to_string(list_sort(need), ',') AS required_skills,
@@ -632,3 +638,28 @@ def _sql_html() -> str:
 @query("a5_page_text", f"SELECT page_id, url, {_sql_html()} AS text FROM pages")
 def a5(spark, d):
     return page_text(X.table(spark, d, "pages"))
+
+
+# ---- the whole scoring flow -------------------------------------------------------------------
+
+LADDER = "CASE {c} WHEN 'PhD' THEN 3 WHEN 'Master''s' THEN 2 WHEN 'Bachelor''s' THEN 1 ELSE 0 END"
+
+
+@query(
+    "flow_score_and_rank",
+    f"""WITH {sql_full_jobs(E.PREFERRED_CUE)}, {FULL_CVS}, clean AS (SELECT resume_id, job_id, {_sql_redact()[0]} AS t FROM full_cvs),
+    cvs AS (SELECT resume_id, job_id, list_intersect(list_distinct({sql_words('t')}), {SQL_LEX}) AS skills, {SQL_YEARS.format(t='t')} AS years, {SQL_DEGREE.format(t='t')} AS degree,
+      length(list_filter(list_transform(string_split(t, chr(10)), lambda s: trim(s)), lambda s: regexp_matches(s, {q(E.PROJECT_LINE)}))[1:5]) AS n_projects FROM clean),
+    needs AS (SELECT job_id, need, {SQL_YEARS.format(t='job_text')} AS min_years, {SQL_DEGREE.format(t='job_text')} AS degree FROM skilled),
+    parts AS (SELECT c.resume_id, c.job_id, CASE WHEN length(n.need) = 0 THEN 50 ELSE length(list_intersect(n.need, c.skills)) * 100 // length(n.need) END AS s,
+      CASE WHEN n.min_years = 0 THEN 50 ELSE least(c.years * 100 // n.min_years, 100) END AS e,
+      CASE WHEN {LADDER.format(c='c.degree')} >= {LADDER.format(c='n.degree')} THEN 100 ELSE 40 END AS u, least(c.n_projects * 20, 100) AS p FROM cvs c JOIN needs n ON n.job_id = c.job_id),
+    scored AS (SELECT *, ((40 * s + 30 * e + 15 * u + 15 * p + 5) // 10) / 10.0::DOUBLE AS overall FROM parts)
+    SELECT resume_id, job_id, overall, overall >= 40 AS fit, CASE WHEN overall >= 40 THEN
+      row_number() OVER (PARTITION BY job_id, overall >= 40 ORDER BY overall DESC, resume_id) ELSE -1 END AS status FROM scored""",
+)
+def flow_rank(spark, d):
+    from rankloom.plans.pipelines import score_and_rank
+
+    ranked = score_and_rank(full_resumes(spark, d), full_jobs(spark, d), X.lexicon(spark, d))
+    return ranked.select("resume_id", "job_id", "overall", "fit", "status")
