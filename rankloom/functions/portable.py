@@ -30,10 +30,6 @@ def tenths_half_up(hundredths: Column) -> Column:
     return F.floor((hundredths + 5) / 10).cast("bigint")
 
 
-def first_or(c: Column, default) -> Column:
-    return F.coalesce(c, default if isinstance(default, Column) else F.lit(default))
-
-
 def truthy(*cols: Column) -> Column:
     """First value that is neither null nor the empty string."""
     return F.coalesce(*[F.nullif(c, F.lit("")) for c in cols])

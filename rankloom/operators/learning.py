@@ -15,7 +15,6 @@ from rankloom.functions import text as T
 from rankloom.functions import wordlists as W
 from rankloom.functions.portable import hash32, uniform
 from rankloom.operators import extraction as E
-from rankloom.operators import labels as L
 from rankloom.operators import terms as I
 from rankloom.operators.spread import id_cell, lookup_join, running_totals
 

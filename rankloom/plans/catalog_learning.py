@@ -84,7 +84,24 @@ def l1(spark, d):
     )
 
 
-@query("l2_knn_grid")
+def _near(dist: str) -> str:
+    return f"""(SELECT * FROM (SELECT q.id AS query_id, q.label AS actual, p.label, {dist} AS distance, row_number() OVER (PARTITION BY q.id ORDER BY {dist}, p.id) AS rank
+      FROM folded q JOIN folded p ON p.fold <> q.fold) WHERE rank <= 11)"""
+
+
+@query(
+    "l2_knn_grid",
+    f"""WITH folded AS MATERIALIZED (SELECT vec_id AS id, embedding::DOUBLE[] AS v, label,
+      (row_number() OVER (PARTITION BY label ORDER BY ('0x' || substr(md5('fold:' || vec_id), 1, 8))::BIGINT, vec_id) - 1) % 3 AS fold FROM embeddings),
+    euclid AS MATERIALIZED {_near(EUCLID)}, city AS MATERIALIZED {_near(MANHATTAN)},
+    lists AS (SELECT 'euclidean' AS metric, * FROM euclid UNION ALL SELECT 'minkowski', * FROM euclid UNION ALL SELECT 'manhattan', * FROM city),
+    grid AS (SELECT l.*, ks.k FROM lists l JOIN (SELECT unnest([3, 5, 7, 9, 11]) AS k) ks ON l.rank <= ks.k),
+    weighed AS (SELECT metric, 'uniform' AS weights, k, query_id, actual, label, 1.0::DOUBLE AS wt FROM grid
+      UNION ALL SELECT metric, 'distance', k, query_id, actual, label, 1 / distance FROM grid),
+    votes AS (SELECT metric, weights, k, query_id, actual, label, round(sum(wt), 6) AS n FROM weighed GROUP BY ALL),
+    pred AS (SELECT metric, weights, k, query_id, actual, arg_max(label, (n, -label)) AS predicted FROM votes GROUP BY metric, weights, k, query_id, actual)
+    SELECT metric, weights, k::INTEGER AS k, round(avg((predicted = actual)::INTEGER::DOUBLE), 6) AS accuracy FROM pred GROUP BY metric, weights, k""",
+)
 def l2(spark, d):
     folded = cut_lineage(L.assign_folds(points(spark, d), "label", "id"))
     return N.knn_grid(folded)

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rankloom.functions import text as T
-from rankloom.functions.portable import hash32
 from rankloom.operators import labels as L
 from rankloom.operators import scoring as S
 from rankloom.operators.spread import id_cell, keep_first, lookup_join, rank_in_group, running_totals, top_k

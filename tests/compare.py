@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime
 import decimal
 import math
+import os
 import sys
 import time
 
@@ -83,7 +84,7 @@ def main(argv):
     import __spark_entry__ as entry
     from rankloom.session import build_session
 
-    d = "/root/testdata/sf0.01"
+    d = os.environ.get("COMPARE_DIR", "/root/testdata/sf0.01")
     spark = build_session(master="local[8]", partitions=8)
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(d)
