@@ -117,7 +117,7 @@ def a13_calls(spark, d):
         if len(rows) > 100:
             raise ValueError("call too large")
 
-    calls = K.write_in_batches(X.table(spark, d, "embeddings").select("vec_id", "label"), [], write)
+    calls = K.write_in_batches(X.table(spark, d, "embeddings").select("vec_id", "label"), write)
     return calls.agg(F.sum("n_rows").alias("n_rows"), F.count("error").alias("failed_calls"))
 
 

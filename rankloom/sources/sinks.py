@@ -40,7 +40,7 @@ def batch_report(rows: DataFrame, queue: list[str]) -> DataFrame:
     )
 
 
-def write_in_batches(rows: DataFrame, queue: list[str], write: Callable[[list], None], size: int = 100) -> DataFrame:
+def write_in_batches(rows: DataFrame, write: Callable[[list], None], size: int = 100) -> DataFrame:
     """Hand rows to ``write`` in calls of at most ``size`` and report each call.
 
     Every task cuts its own rows into calls, so a call never waits for another

@@ -84,7 +84,7 @@ def test_failed_calls_are_isolated(spark):
         if any(r["id"] == 7 for r in rows):
             raise RuntimeError("no")
 
-    calls = K.write_in_batches(spark.range(0, 50, 1, 1), [], write, size=10).collect()
+    calls = K.write_in_batches(spark.range(0, 50, 1, 1), write, size=10).collect()
     assert sum(r["n_rows"] for r in calls) == 50 and sum(r["error"] is not None for r in calls) == 1
 
 
