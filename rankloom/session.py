@@ -36,18 +36,19 @@ def build_session(app: str = "rankloom", master: str | None = None, partitions:
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only where the cluster names none (tests, local runs) is a temporary folder
-    made and set.
+    Where the cluster names none, a local session (tests) gets a temporary folder;
+    any other session is refused, since executors do not share local folders.
     """
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    current = sc._jsc.sc().getCheckpointDir()
+    if named is None and current.isDefined():
+        return current.get()
     if named is None:
-        current = sc._jsc.sc().getCheckpointDir()
-        if current.isDefined():
-            return current.get()
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError(f"spark.checkpoint.dir must name a folder that all executors of {sc.master} share")
         named = tempfile.mkdtemp(prefix="rankloom-")
-        sc.setCheckpointDir(named)
-    elif not sc._jsc.sc().getCheckpointDir().isDefined():
+    if not current.isDefined():
         sc.setCheckpointDir(named)
     return named
 
