@@ -15,6 +15,7 @@ occur. An empty table gives no rows. Further columns are kept out of the result.
 
 from __future__ import annotations
 
+import base64
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,77 +24,76 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rankloom.llm.common import ROW, Memo, list_column, numbered, query, table
+from rankloom.llm.common import ROW, list_column, numbered, query, table
 from rankloom.session import cut_lineage
 
 SEQUENCE = 2048
 SEPARATOR = 1
 VOCABULARY = "byte_bpe_50k.json"
+RANKS = "byte_bpe_50k.tiktoken"
 #: Pieces of one length that one task ranks.
 CELL_ROWS = 20_000
 
 
-class WordTokens:
-    """Ids of whole texts from a byte-level vocabulary, chunk by chunk.
+class TextIds:
+    """Ids of whole texts from a byte-level vocabulary.
 
-    The vocabulary's own splitting never joins characters over a single space that
-    stands between two other characters, so the text is cut there and every chunk
-    is tokenised once per worker, as long as it is remembered. Texts with
-    other spacing are tokenised whole.
+    Texts of Latin letters and common punctuation go through the rank file of the
+    same vocabulary, which gives the same ids in a quarter of the time. All else,
+    and text that spells a special token, goes to the tokenizer itself.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, ranks: str | None):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known = Memo(None, limit=1_000_000)
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.fast = None
+        if ranks:
+            import tiktoken
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        cut = [self._chunks(t) for t in texts]
-        known = self.known
-        fresh = {c for chunks in cut if chunks for c in chunks if c not in known}
-        if len(known) + len(fresh) > known.limit:
-            known.clear()
-            fresh = {c for chunks in cut if chunks for c in chunks}
-        fresh = list(fresh)
-        known.update(zip(fresh, self._encode(fresh)))
-        whole = [i for i, chunks in enumerate(cut) if chunks is None]
-        plain = dict(zip(whole, self._encode([texts[i] for i in whole])))
-        return [plain[i] if chunks is None else b"".join([known[c] for c in chunks]) for i, chunks in enumerate(cut)]
-
-    def _chunks(self, text: str) -> list[str] | None:
-        """The text cut before single spaces; None where that could change the ids."""
-        if "  " in text or any(s in text for s in self.specials):
-            return None
-        first, *rest = text.split(" ")
-        if (not first and rest) or any(r[:1].isspace() or r[-1:].isspace() for r in rest) or first[-1:].isspace() or (rest and not rest[-1]):
-            return None
-        return [first] * bool(first) + [" " + r for r in rest]
-
-
-_LOADED: dict[str, WordTokens] = {}
-
-
-def tokenised(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None, separator: int = SEPARATOR, length: int = SEQUENCE) -> DataFrame:
+            with open(ranks, "rb") as f:
+                table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+            self.fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
+
+    def __call__(self, text: str) -> bytes:
+        if self.fast and not any(s in text for s in self.specials) and (text.isascii() or _is_latin(text)):
+            return np.array(self.fast.encode_ordinary(text), "<u4").tobytes()
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+def _is_latin(text: str) -> bool:
+    units = np.frombuffer(text.encode("utf-16-le", "surrogatepass"), "<u2")
+    return bool(((units < 0x250) | ((units >= 0x2010) & (units <= 0x2027))).all())
+
+
+_LOADED: dict[str, TextIds] = {}
+
+
+def tokenised(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    vocabulary: str | None = None,
+    ranks: str | None = None,
+    separator: int = SEPARATOR,
+    length: int = SEQUENCE,
+) -> DataFrame:
     """Pieces: row number, id, tokens of the document, start, length and the ids as
-    little-endian unsigned 32-bit numbers."""
-    path = vocabulary or public_tokenizers.path(VOCABULARY)
+    little-endian unsigned 32-bit numbers. ``vocabulary`` is a tokenizer's file,
+    ``ranks`` the rank file of the same vocabulary, if there is one."""
+    path, ranks = vocabulary or public_tokenizers.path(VOCABULARY), ranks if vocabulary else public_tokenizers.path(RANKS)
     id_type = docs.schema[id_col].dataType.simpleString()
     end = np.array([separator], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if path not in _LOADED:
-            _LOADED[path] = WordTokens(path)
+            _LOADED[path] = TextIds(path, ranks)
         encode = _LOADED[path]
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                raws = [ids + end for ids in encode([t or "" for t in part.column(1).to_pylist()])]
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                raws = [encode(t or "") + end for t in part.column(1).to_pylist()]
                 totals, starts, lengths, pieces, counts = [], [], [], [], []
                 for raw in raws:
                     n = len(raw) // 4
