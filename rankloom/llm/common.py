@@ -105,7 +105,35 @@ def numbered(df: DataFrame) -> DataFrame:
     return df.withColumn(ROW, F.monotonically_increasing_id())
 
 
+#: Slots of the broadcast prefilter of :func:`rows_with` and :func:`without_ids`: the most
+#: rows it can have, whatever the number of ids.
+FILTER_SLOTS = 1 << 18
+
+
+def _slots_of(ids: DataFrame) -> DataFrame:
+    slot = F.pmod(F.xxhash64("_wanted"), F.lit(FILTER_SLOTS)).alias("_slot")
+    return F.broadcast(ids.select(slot).distinct())
+
+
+def _wanted(docs: DataFrame, ids: DataFrame, id_col: str):
+    wanted = ids.select(F.col(id_col).alias("_wanted")).distinct()
+    marked = docs.withColumn("_slot", F.pmod(F.xxhash64(id_col), F.lit(FILTER_SLOTS)))
+    return wanted, marked, _slots_of(wanted), docs[id_col].eqNullSafe(F.col("_wanted"))
+
+
+def rows_with(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """Rows of ``docs`` whose id is in ``ids``; null counts as a value.
+
+    A broadcast of occupied hash slots, bounded by their number, keeps most other
+    rows out of the shuffle while the ids are few. ``ids`` should be a written table.
+    """
+    wanted, marked, slots, same = _wanted(docs, ids, id_col)
+    return marked.join(slots, "_slot", "left_semi").join(wanted, same, "left_semi").select(*docs.columns)
+
+
 def without_ids(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Rows of ``docs`` whose id is not in ``ids``; null counts as a value."""
-    gone = ids.select(F.col(id_col).alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col].eqNullSafe(F.col("_gone")), "left_anti")
+    wanted, marked, slots, same = _wanted(docs, ids, id_col)
+    clear = marked.join(slots, "_slot", "left_anti").select(*docs.columns)
+    doubtful = marked.join(slots, "_slot", "left_semi").join(wanted, same, "left_anti").select(*docs.columns)
+    return clear.unionAll(doubtful)

@@ -225,7 +225,7 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Documents that share no span with the benchmark."""
     rows, spans = shared_spans(docs, benchmark)
     dirty = rows.join(spans.select(ROW).distinct(), ROW, "left_semi").select("doc_id")
-    return without_ids(docs, dirty)
+    return without_ids(docs, cut_lineage(dirty))
 
 
 _SQL = r"""
