@@ -98,15 +98,15 @@ def _digits(text: Column) -> Column:
     return F.regexp_replace(text, "[^0-9]", "")
 
 
-def _valid(kind: str, s: Column) -> Column:
-    digits = _digits(s["text"])
+def _valid(kind: str):
+    """Test of a match of the kind's format."""
     if kind == "ip":
-        return s["text"].rlike(r"^0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9]?)(?:\.0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9]?)){3}$")
+        return lambda s: s["text"].rlike(r"^0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9]?)(?:\.0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9]?)){3}$")
     if kind == "card":
-        return F.length(digits).between(13, 19) & F.luhn_check(digits)
+        return lambda s: F.length(_digits(s["text"])).between(13, 19) & F.call_function("luhn_check", _digits(s["text"]))
     if kind == "phone":
-        return F.length(digits).between(9, 15)
-    return F.lit(True)
+        return lambda s: F.length(_digits(s["text"])).between(9, 15)
+    return lambda s: F.lit(True)
 
 
 def _fits(kind: Column, text: Column) -> Column:
@@ -128,7 +128,7 @@ def base_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         df = with_spans(df, "_text", f"_{kind}", FORMATS[kind], HINTS[kind])
     df = with_spans(df, "_text", "_other", CANDIDATE, "[0-9@]")
     for kind in KINDS:
-        df = df.withColumn(f"_{kind}", F.filter(f"_{kind}", lambda s, k=kind: _valid(k, s)))
+        df = df.withColumn(f"_{kind}", F.filter(f"_{kind}", _valid(kind)))
     known = F.flatten(F.array(*[F.transform(f"_{k}", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))) for k in KINDS]))
     df = df.withColumn("_known", known)
     clear = F.filter("_other", lambda c: ~F.exists("_known", lambda s: (s["start"] < c["end"]) & (c["start"] < s["end"])))
@@ -148,7 +148,10 @@ def discovered(found: DataFrame, rounds: int = ROUNDS, support: float = SUPPORT,
     Only patterns with at least ``support`` distinct candidates can ever be trusted,
     so the graph is cut to them before the first round.
     """
-    seen = F.concat(*[F.transform(k, lambda s, k=k: _contexts(F.lit(k), s)) for k in KINDS], F.transform("other", lambda s: _contexts(F.lit(None).cast("string"), s)))
+    def in_context(kind: str | None):
+        return lambda s: _contexts(F.lit(kind).cast("string"), s)
+
+    seen = F.concat(*[F.transform(k, in_context(k)) for k in KINDS], F.transform("other", in_context(None)))
     met = found.select(F.explode(seen).alias("m")).select("m.kind", "m.item", "m.patterns").distinct()
     met = cut_lineage(met)
     seeds = cut_lineage(met.filter("kind is not null").select("item", "kind").distinct())
@@ -181,10 +184,13 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     def plain(kind: str) -> Column:
         return F.transform(kind, lambda s: F.struct(F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["text"].alias("text")))
 
+    def of(kind: str):
+        return lambda s: s["kind"] == kind
+
     base = F.concat(*[plain(k) for k in KINDS])
     more = F.coalesce(F.col("extra"), F.array().cast("array<struct<kind:string,start:bigint,end:bigint,text:string>>"))
     by_start = lambda a: F.array_sort(a, lambda x, y: F.when(x["start"] < y["start"], -1).when(x["start"] > y["start"], 1).otherwise(0))
-    all_ = F.concat(*[by_start(F.concat(plain(k), F.filter(more, lambda s, k=k: s["kind"] == k))) for k in KINDS])
+    all_ = F.concat(*[by_start(F.concat(plain(k), F.filter(more, of(k)))) for k in KINDS])
     return found.join(extra, ROW, "left").select(id_col, "_text_hash", base.alias("base"), all_.alias("spans"))
 
 
