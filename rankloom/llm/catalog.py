@@ -6,7 +6,7 @@ import importlib
 
 from rankloom.llm.common import ORACLES, QUERIES
 
-MODULES = ["personal_data", "near_duplicates", "language_spans", "packing", "winnowing"]
+MODULES = ["personal_data", "katz", "near_duplicates", "language_spans", "packing", "winnowing"]
 for _m in MODULES:
     importlib.import_module(f"rankloom.llm.{_m}")
 
