@@ -6,7 +6,18 @@ import importlib
 
 from rankloom.llm.common import ORACLES, QUERIES
 
-MODULES = ["personal_data", "katz", "near_duplicates", "language_spans", "packing", "winnowing"]
+MODULES = [
+    "personal_data",
+    "katz",
+    "quality_trees",
+    "warc",
+    "near_duplicates",
+    "language_spans",
+    "licence_dice",
+    "packing",
+    "winnowing",
+    "secret_forest",
+]
 for _m in MODULES:
     importlib.import_module(f"rankloom.llm.{_m}")
 

@@ -155,8 +155,8 @@ def _blocks_map(hot: np.ndarray, parts: int, id_type: pa.DataType):
     return run
 
 
-def _rows(schema: pa.Schema, n: int, **columns) -> pa.Table:
-    return pa.table([columns.get(f.name, pa.nulls(n, f.type)) if not isinstance(columns.get(f.name), np.ndarray) else pa.array(columns[f.name]).cast(f.type) for f in schema], schema=schema)
+def _rows(schema: pa.Schema, size: int, /, **columns) -> pa.Table:
+    return pa.table([columns.get(f.name, pa.nulls(size, f.type)) if not isinstance(columns.get(f.name), np.ndarray) else pa.array(columns[f.name]).cast(f.type) for f in schema], schema=schema)
 
 
 def _table_of_lists(values: np.ndarray) -> pa.Array:
@@ -275,7 +275,7 @@ def scored(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col:
     words = np.array(sorted(pairs), np.uint64)
     frequent = (words, np.array([pairs[int(w)] for w in words], np.int64))
 
-    parts = parts or max(8, min(1 << 16, planned_bytes(docs) // PART_BYTES))
+    parts = parts or max(8, planned_bytes(docs) // PART_BYTES)
     often = frequent[1] * 8 * parts > max(unigrams.tokens, 1)  # 8 words for each part at most
     hot = np.unique(np.append(words[often], BEGIN))
 

@@ -75,8 +75,9 @@ def _word(part: Column, side: str) -> Column:
     return F.lower(F.regexp_replace(found, r"[^\p{L}\p{N}]", ""))
 
 
-def with_spans(df: DataFrame, text: str, name: str, pattern: str, hint: str) -> DataFrame:
-    """Add ``name``: the matches of a pattern with their places and neighbouring words."""
+def with_spans(df: DataFrame, text: str, name: str, pattern: str, hint: str, whole_context: bool = False) -> DataFrame:
+    """Add ``name``: the matches of a pattern with their places and neighbouring words,
+    or with the CONTEXT_CHARS characters on either side up to the next match."""
     found, gaps = F.col(f"_{name}_found"), F.col(f"_{name}_gaps")
     none = F.array().cast("array<string>")
     df = df.withColumn(f"_{name}_found", F.when(F.col(text).rlike(hint), F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(0))).otherwise(none))
@@ -88,7 +89,9 @@ def with_spans(df: DataFrame, text: str, name: str, pattern: str, hint: str) ->
     def span(m: Column, i: Column) -> Column:
         start = F.get(F.col(f"_{name}_at"), i) + F.length(F.get(gaps, F.lit(0)))
         before, after = F.right(F.get(gaps, i), F.lit(CONTEXT_CHARS)), F.left(F.get(gaps, i + 1), F.lit(CONTEXT_CHARS))
-        return F.struct(start.alias("start"), (start + F.length(m)).alias("end"), m.alias("text"), _word(before, "before").alias("before"), _word(after, "after").alias("after"))
+        if not whole_context:
+            before, after = _word(before, "before"), _word(after, "after")
+        return F.struct(start.alias("start"), (start + F.length(m)).alias("end"), m.alias("text"), before.alias("before"), after.alias("after"))
 
     df = df.withColumn(name, F.transform(found, span).cast(f"array<{_SPAN}>"))
     return df.drop(f"_{name}_found", f"_{name}_gaps", f"_{name}_at")
