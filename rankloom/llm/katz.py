@@ -38,7 +38,7 @@ from rankloom.session import cut_lineage
 
 TURING = 5
 #: Words whose counts every task knows: 16 bytes each, whatever the corpus.
-FREQUENT = 1 << 19
+FREQUENT = 1 << 17
 #: Tokens a task holds before it sends them on.
 CHUNK_TOKENS = 3_000_000
 #: Bytes of input for one part of the bigrams.
@@ -113,6 +113,18 @@ class Unigrams:
         return F.when(c > 0, F.lit(float(self.scale)) * c * kept).otherwise(F.lit(float(self.unknown)))
 
 
+def most_frequent(counts: DataFrame, most: int | None = None) -> DataFrame:
+    """The words of the highest count classes that hold FREQUENT words at most together."""
+    level = F.floor(F.log2("c") * 8)
+    room, cut = FREQUENT if most is None else most, None
+    for r in sorted(counts.groupBy(level.alias("level")).count().collect(), reverse=True):  # 8 levels for each doubling
+        room -= r["count"]
+        if room < 0:
+            break
+        cut = r["level"]
+    return counts.limit(0) if cut is None else counts.filter(level >= cut)
+
+
 def _part_of(h: np.ndarray, w: np.ndarray, hot: np.ndarray, parts: int) -> np.ndarray:
     at = np.searchsorted(hot, h)
     is_hot = np.zeros(len(h), bool) if not len(hot) else hot[np.minimum(at, len(hot) - 1)] == h
@@ -268,7 +280,7 @@ def scored(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col:
     counted = named.filter(~F.col("held")).select("text").mapInArrow(_count_words, "word bigint, n bigint")
     counts = cut_lineage(counted.groupBy("word").agg(F.sum("n").alias("c")))
     unigrams = Unigrams(counts)
-    top = counts.orderBy(F.desc("c"), "word").limit(FREQUENT).toPandas()  # FREQUENT rows at most
+    top = most_frequent(counts).toPandas()  # FREQUENT rows at most
     end_count = int(counts.filter(F.col("word") == int(END)).select(F.coalesce(F.max("c"), F.lit(0))).first()[0])
     pairs = {int(w) % (1 << 64): int(c) for w, c in zip(top["word"], top["c"])}
     pairs[int(END)] = end_count
