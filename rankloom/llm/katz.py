@@ -33,16 +33,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankloom.llm.common import ROW, crc32_of, hash_words, mix, numbered, query, table, text_bytes
-from rankloom.operators.spread import planned_bytes
 from rankloom.session import cut_lineage
 
 TURING = 5
 #: Words whose counts every task knows: 16 bytes each, whatever the corpus.
 FREQUENT = 1 << 17
 #: Tokens a task holds before it sends them on.
-CHUNK_TOKENS = 3_000_000
-#: Bytes of input for one part of the bigrams.
-PART_BYTES = 8 << 20
+CHUNK_TOKENS = 1_500_000
+#: Bytes of blocks in one Arrow batch.
+BATCH_BYTES = 4 << 20
+#: Training tokens for one part of the bigrams.
+PART_TOKENS = 1_500_000
 BEGIN, END = np.uint64(1), np.uint64(2)
 
 _LOWER = bytes(range(256)).lower()
@@ -136,28 +137,30 @@ def _blocks_map(hot: np.ndarray, parts: int, id_type: pa.DataType):
         for rows, tokens in _chunks(batches, 3):
             sizes = np.array([len(t) for t in tokens])
             w = np.concatenate(tokens)
+            tokens.clear()
             h = np.empty_like(w)
             h[1:] = w[:-1]
-            firsts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-            h[firsts] = BEGIN
-            doc = np.repeat(np.arange(len(rows)), sizes)
-            held = np.array([r[2] for r in rows], bool)
+            h[np.concatenate([[0], np.cumsum(sizes)[:-1]])] = BEGIN
             part = _part_of(h, w, hot, parts)
             order = np.lexsort((w, h, part))
-            h, w, doc, part = h[order], w[order], doc[order], part[order]
-            cuts = np.searchsorted(part, np.arange(parts + 1))
-            kind = "<u2" if len(rows) <= 1 << 16 else "<u4"
+            h, w = h[order], w[order]
+            cuts = np.searchsorted(part[order], np.arange(parts + 1))
+            doc = np.repeat(np.arange(len(rows), dtype=np.uint32), sizes)[order]
+            if len(rows) <= 1 << 16:
+                doc = doc.astype("<u2")
+            del part, order
             first = rows[0][0]
+            flags = np.packbits(np.array([r[2] for r in rows], bool)).tobytes()
             some = [p for p in range(parts) if cuts[p + 1] > cuts[p]]
-
-            def packed(a, kind):
-                return pa.array([a[cuts[p] : cuts[p + 1]].astype(kind).tobytes() for p in some], pa.binary())
-
-            flags = np.packbits(held).tobytes()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(some, pa.int32()), pa.array([first] * len(some), pa.int64()), packed(h, "<u8"), packed(w, "<u8"), packed(doc, kind), pa.array([flags] * len(some), pa.binary()), pa.nulls(len(some), pa.list_(id_type)), pa.nulls(len(some), pa.binary())],
-                ["part", "first", "h", "w", "doc", "held", "ids", "sizes"],
-            )
+            step = max(1, int(BATCH_BYTES * len(some) / (18 * len(w))))
+            for at in range(0, len(some), step):
+                now = some[at : at + step]
+                packed = [pa.array([a[cuts[p] : cuts[p + 1]].tobytes() for p in now], pa.binary()) for a in (h, w, doc)]
+                n = len(now)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(now, pa.int32()), pa.array([first] * n, pa.int64()), *packed, pa.array([flags] * n, pa.binary()), pa.nulls(n, pa.list_(id_type)), pa.nulls(n, pa.binary())],
+                    ["part", "first", "h", "w", "doc", "held", "ids", "sizes"],
+                )
             # The documents themselves travel in one of the parts.
             yield pa.RecordBatch.from_arrays(
                 [pa.array([int(first) % parts], pa.int32()), pa.array([first], pa.int64()), pa.nulls(1, pa.binary()), pa.nulls(1, pa.binary()), pa.nulls(1, pa.binary()), pa.array([flags], pa.binary()), pa.array([[r[1] for r in rows]], pa.list_(id_type)), pa.array([sizes.astype("<u8").tobytes()], pa.binary())],
@@ -287,7 +290,7 @@ def scored(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col:
     words = np.array(sorted(pairs), np.uint64)
     frequent = (words, np.array([pairs[int(w)] for w in words], np.int64))
 
-    parts = parts or max(8, planned_bytes(docs) // PART_BYTES)
+    parts = parts or 8 + unigrams.tokens // PART_TOKENS
     often = frequent[1] * 8 * parts > max(unigrams.tokens, 1)  # 8 words for each part at most
     hot = np.unique(np.append(words[often], BEGIN))
 
