@@ -16,7 +16,7 @@ ORACLES: dict[str, str] = {}
 #: Column that numbers the input rows while an operator works; repeated ids stay apart.
 ROW = "_row_id"
 #: Distinct words a Python worker remembers between tasks.
-MEMO_WORDS = 400_000
+MEMO_WORDS = 200_000
 
 
 def query(name: str, sql: str | None = None):

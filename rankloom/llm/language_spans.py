@@ -34,8 +34,11 @@ SCRIPT_SHARE = 0.005
 #: Least share of a text's words in its language for the filter.
 LEAST_SHARE = 0.5
 UNKNOWN = "und"
-#: Words times languages that Viterbi holds at once.
-CELLS = 6_000_000
+#: Words times languages that Viterbi holds at once, distinct words taken apart at once.
+CELLS = 3_000_000
+SLICE_WORDS = 20_000
+#: Texts handled at once.
+SLICE_TEXTS = 1_000
 
 #: First code points of script ranges; a letter belongs to the last range that starts at or before it.
 SCRIPTS = [
@@ -112,17 +115,21 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     totals: dict[str, np.ndarray] = {}
     for batch in batches:
         by: dict[str, Counter] = {}
-        for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            by.setdefault(lang, Counter()).update(words_in(text))
+        for at in range(0, batch.num_rows, SLICE_TEXTS):
+            part = batch.slice(at, SLICE_TEXTS)
+            for text, lang in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                by.setdefault(lang, Counter()).update(words_in(text))
         for lang, counter in by.items():
             words = list(counter)
             if not words:
                 continue
-            times = np.fromiter(counter.values(), np.int64, len(words))
-            slot, sizes, script = letter_groups(words)
+            all_times = np.fromiter(counter.values(), np.int64, len(words))
             sums = totals.setdefault(lang, np.zeros(size, np.int64))
-            sums[:SLOTS] += np.bincount(slot, weights=np.repeat(times, sizes), minlength=SLOTS).astype(np.int64)
-            sums[SLOTS:] += np.bincount(script, weights=times, minlength=len(SCRIPT_NAMES)).astype(np.int64)
+            for at in range(0, len(words), SLICE_WORDS):
+                times = all_times[at : at + SLICE_WORDS]
+                slot, sizes, script = letter_groups(words[at : at + SLICE_WORDS])
+                sums[:SLOTS] += np.bincount(slot, weights=np.repeat(times, sizes), minlength=SLOTS).astype(np.int64)
+                sums[SLOTS:] += np.bincount(script, weights=times, minlength=len(SCRIPT_NAMES)).astype(np.int64)
     for lang, sums in totals.items():
         at = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at, pa.int32()), pa.array(sums[at])], ["lang", "slot", "times"])
@@ -152,11 +159,14 @@ def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> La
 
 def word_scores(words: list[str], model: Languages) -> np.ndarray:
     """Word x language; the mean over the group lengths keeps a word's weight at its number of letters."""
-    slot, sizes, script = letter_groups(words)
-    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-    scores = np.add.reduceat(model.log_p[slot], starts, axis=0) / 3
-    scores = scores - scores.max(axis=1, keepdims=True)
-    return np.where(model.allowed[script], scores, -1e4).astype(np.float32)
+    out = []
+    for at in range(0, len(words), SLICE_WORDS):
+        slot, sizes, script = letter_groups(words[at : at + SLICE_WORDS])
+        starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+        scores = np.add.reduceat(model.log_p[slot], starts, axis=0) / 3
+        scores = scores - scores.max(axis=1, keepdims=True)
+        out.append(np.where(model.allowed[script], scores, -1e4).astype(np.float32))
+    return np.concatenate(out)
 
 
 def viterbi(ids: list[np.ndarray], scores: np.ndarray, switch: float = SWITCH) -> list[np.ndarray]:
@@ -243,8 +253,8 @@ def predictions(docs: DataFrame, model: Languages, keep: list[str], text_col: st
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.struct([("lang", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
         for batch in batches:
-            for at in range(0, batch.num_rows, 2000):
-                part = batch.slice(at, 2000)
+            for at in range(0, batch.num_rows, SLICE_TEXTS):
+                part = batch.slice(at, SLICE_TEXTS)
                 texts = part.column(1).to_pylist()
                 found = _label(texts, model)
                 spans = [_spans(t, labels, model.names) if len(labels) else [] for t, (_, _, labels) in zip(texts, found)]
@@ -265,8 +275,8 @@ def accepted(docs: DataFrame, model: Languages, least: float = LEAST_SHARE) -> D
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 2000):
-                part = batch.slice(at, 2000)
+            for at in range(0, batch.num_rows, SLICE_TEXTS):
+                part = batch.slice(at, SLICE_TEXTS)
                 found = _label(part.column(columns.index("text")).to_pylist(), model)
                 yield part.filter(pa.array([lang != UNKNOWN and score >= least for lang, score, _ in found], pa.bool_()))
 

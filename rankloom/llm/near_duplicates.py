@@ -43,7 +43,7 @@ PLACES = BANDS * BAND_PLACES
 #: Least similarity as a fraction of whole numbers.
 SIMILAR = (4, 5)
 #: Shingles that are hashed at once.
-BATCH_SHINGLES = 400_000
+BATCH_SHINGLES = 200_000
 
 
 def shingles(text: bytes) -> tuple[int, np.ndarray, np.ndarray]:
@@ -132,13 +132,14 @@ def _in_turn(batch: pa.RecordBatch):
 def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs whose sets have an exact Jaccard of SIMILAR or more."""
     least, of = SIMILAR
-    for b in batches:
-        keep = []
-        for i, (x, y) in enumerate(zip(b.column(2).to_pylist(), b.column(3).to_pylist())):
-            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            keep.append(of * both >= least * (len(x) + len(y) - both))
-        yield b.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+    for batch in batches:
+        for at in range(0, batch.num_rows, 500):
+            b, keep = batch.slice(at, 500), []
+            for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist()):
+                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(of * both >= least * (len(x) + len(y) - both))
+            yield b.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
