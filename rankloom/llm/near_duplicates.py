@@ -109,7 +109,8 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for _, sets in _in_turn(batch):
-            yield pa.RecordBatch.from_arrays([_keys(sets), pa.array([s[1].tobytes() for s in sets], pa.binary())], ["text_key", "members"])
+            flat = np.concatenate([s[1] for s in sets]).view(np.int64)
+            yield pa.RecordBatch.from_arrays([_keys(sets), list_column(flat, np.array([len(s[1]) for s in sets]))], ["text_key", "members"])
 
 
 def _keys(sets: list) -> pa.Array:
@@ -129,23 +130,12 @@ def _in_turn(batch: pa.RecordBatch):
         yield batch.slice(at, len(sets)), sets
 
 
-def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs whose sets have an exact Jaccard of SIMILAR or more."""
-    least, of = SIMILAR
-    for batch in batches:
-        for at in range(0, batch.num_rows, 500):
-            b, keep = batch.slice(at, 500), []
-            for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(of * both >= least * (len(x) + len(y) - both))
-            yield b.select([0, 1]).filter(pa.array(keep, pa.bool_()))
-
-
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) that are similar."""
+    """The pairs (a, b) whose sets have an exact Jaccard of SIMILAR or more."""
+    least, of = SIMILAR
     met = pairs.join(sets.withColumnsRenamed({"text_key": "a", "members": "x"}), "a").join(sets.withColumnsRenamed({"text_key": "b", "members": "y"}), "b")
-    return met.select("a", "b", "x", "y").mapInArrow(_similar, "a bigint, b bigint")
+    sized = met.select("a", "b", F.size(F.array_intersect("x", "y")).alias("both"), (F.size("x") + F.size("y")).alias("all"))
+    return sized.filter(F.col("both") * of >= (F.col("all") - F.col("both")) * least).select("a", "b")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -190,7 +180,7 @@ def text_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     members = cut_lineage(members.join(shared, "bucket").select("bucket", F.col("text_key").alias("a"), "n", F.col("pivot.text_key").alias("b"), F.col("pivot.n").alias("n_b")))
 
     wanted = cut_lineage(texts.join(members.select(F.col("a").alias("text_key")).distinct(), "text_key", "left_semi"))
-    sets = rows_with(named, wanted).mapInArrow(_sets, "text_key bigint, members binary")
+    sets = rows_with(named, wanted).mapInArrow(_sets, "text_key bigint, members array<bigint>")
     sets = cut_lineage(sets.groupBy("text_key").agg(F.first("members").alias("members")))
 
     tried = members.filter("a <> b")
