@@ -27,7 +27,7 @@ def lexicon_matches(docs: DataFrame, key: str, text: Column, lexicon: DataFrame,
     if planned_bytes(lexicon) <= LEXICON_BYTES:
         sets = {n: lex.agg(F.collect_list("token")).scalar() for n, lex in named.items()}
         return docs.select("*", tokens.alias("_tokens")).select(
-            *docs.columns, *[F.sort_array(F.array_intersect("_tokens", s)).alias(n) for n, s in sets.items()]
+            *docs.columns, *[F.coalesce(F.sort_array(F.array_intersect("_tokens", s)), F.array().cast("array<string>")).alias(n) for n, s in sets.items()]
         )
     terms = docs.select(key, F.explode_outer(tokens).alias("token")).filter(F.col("token").isNotNull())
     kind = F.lower("kind") if kinds else F.lit("found")

@@ -76,9 +76,10 @@ def latest_feedback(feedback: DataFrame, key: str = "resume_id") -> DataFrame:
 
 
 def upsert(base: DataFrame, updates: DataFrame, key: str, seq: list[str], columns: list[str]) -> DataFrame:
-    """Keyed upsert of some columns: last write wins, a null writes nothing,
-    unknown keys become new rows."""
-    last = keep_last(updates, [key], seq).select(F.col(key).alias("_key"), *[F.col(c).alias(f"_new_{c}") for c in columns])
+    """Keyed upsert of some columns: in each the last write wins, a null writes
+    nothing, unknown keys become new rows."""
+    order = F.struct(*seq)
+    last = updates.groupBy(F.col(key).alias("_key")).agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), order)).alias(f"_new_{c}") for c in columns])
     joined = base.join(last, base[key] == last["_key"], "full_outer")
     out = []
     for c in base.columns:

@@ -43,10 +43,10 @@ def boosted_trees_on_vectors(label: str = "label", trees: int = 100, depth: int
 
 
 def with_probability(model: PipelineModel, df: DataFrame, out: str = "probability") -> DataFrame:
-    """Positive-class probability at four decimals, and the predicted class."""
+    """Positive-class probability, unrounded so that metrics see it whole, and the predicted class."""
     scored = model.transform(df)
     kept = [c for c in df.columns if c != out]
-    return scored.select(*kept, F.round(vector_to_array("probability")[1], 4).alias(out), F.col("prediction").cast("int").alias("yhat"))
+    return scored.select(*kept, vector_to_array("probability")[1].alias(out), F.col("prediction").cast("int").alias("yhat"))
 
 
 def fit_score_model(training: DataFrame, trees: int = 100, depth: int = 4, step: float = 0.1) -> PipelineModel:

@@ -38,8 +38,8 @@ def score_cell(score: Column, scale: int = 10) -> Column:
 
 
 def rank_resumes(scores: DataFrame, id_col: str = "resume_id", group: str = "job_id") -> DataFrame:
-    """Overall score, fit flag, rank among the fit resumes of a posting (unfit: -1)
-    and fit probability."""
+    """Overall score, fit flag, rank among the fit resumes of a posting (unfit: -1, not
+    scored: as uploaded) and fit probability."""
     df = scores if "overall" in scores.columns else overall(scores)
     df = df.withColumn("fit", is_fit(F.col("overall")))
     ranked = rank_in_group(
@@ -49,7 +49,7 @@ def rank_resumes(scores: DataFrame, id_col: str = "resume_id", group: str = "job
         [score_cell(F.col("overall")), id_cell(id_col)],
         "status",
     )
-    return ranked.withColumn("status", F.when(F.col("fit"), F.col("status")).otherwise(F.lit(W.STATUS_UNFIT).cast("bigint"))).withColumn(
+    return ranked.withColumn("status", F.when(F.col("fit"), F.col("status")).when(~F.col("fit"), F.lit(W.STATUS_UNFIT).cast("bigint")).otherwise(F.lit(W.STATUS_UPLOADED).cast("bigint"))).withColumn(
         "fit_probability", F.round(F.col("overall") / 100, 4)
     )
 

@@ -26,6 +26,13 @@ def id_cell(id_col: Column | str, width: int = ID_CELL) -> Column:
     return F.floor(c / F.lit(width)).cast("bigint")
 
 
+def join_with_nulls(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join on ``keys`` in which null equals null."""
+    renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    same = [left[k].eqNullSafe(F.col(f"_right_{k}")) for k in keys]
+    return left.join(renamed, same).drop(*[f"_right_{k}" for k in keys]) if keys else left.join(right, [])
+
+
 def running_totals(
     df: DataFrame,
     group: list[str],
@@ -39,8 +46,9 @@ def running_totals(
     A plain window would sort a whole group in one task. Here ``cells`` cut the
     group into ordered pieces: sorting by the cells must agree with ``order``.
     Only the piece is sorted; what lies before it comes from summing one row
-    per cell, level by level. Group and cell values must not be null. ``group_totals`` maps an output name to the name
-    of a total whose sum over the whole group is wanted too.
+    per cell, level by level. A null group is a group, a null cell comes last in its
+    group. ``group_totals`` maps an output name to the name of a total whose sum over the
+    whole group is wanted too.
 
     Totals of ``lit(1)`` are ranks.
     """
@@ -61,13 +69,13 @@ def running_totals(
     for depth in range(len(cells), 0, -1):
         own, parents = keys[: len(group) + depth], keys[: len(group) + depth - 1]
         sums = level if depth == len(cells) else level.groupBy(*own).agg(*[F.sum(m).alias(m) for m in measures])
-        before = Window.partitionBy(*parents).orderBy(own[-1]).rowsBetween(Window.unboundedPreceding, -1)
+        before = Window.partitionBy(*parents).orderBy(F.col(own[-1]).asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
         cols = [F.coalesce(F.sum(m).over(before), F.lit(0)).alias(f"{m}_{depth}") for m in measures]
         if depth == 1 and group_totals:
             whole = Window.partitionBy(*parents)
             cols += [F.sum(f"_m_{src}").over(whole).alias(f"_g_{out}") for out, src in group_totals.items()]
         step = sums.select(*own, *cols)
-        offsets = step if depth == len(cells) else offsets.join(step, own)
+        offsets = step if depth == len(cells) else join_with_nulls(offsets, step, own)
     offsets = offsets.select(
         *keys,
         *[
@@ -78,7 +86,7 @@ def running_totals(
     )
     local = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     ranked = keyed.select("*", *[F.sum(m).over(local).alias(f"_loc{m}") for m in measures])
-    joined = ranked.join(offsets, keys)
+    joined = join_with_nulls(ranked, offsets, keys)
     return joined.select(
         *df.columns,
         *[(F.col(f"_off_m_{k}") + F.col(f"_loc_m_{k}")).cast("bigint").alias(k) for k in totals],

@@ -53,8 +53,9 @@ def a13(spark, d):
 
 @query(
     "a15_keyed_upsert",
-    """WITH u AS (SELECT resume_id, feedback_label FROM (SELECT *, row_number() OVER (PARTITION BY resume_id ORDER BY ts DESC, event_id DESC) AS rn
-      FROM v_feedback) WHERE rn = 1)
+    """WITH u AS (SELECT resume_id, max(feedback_label) FILTER (WHERE rn = 1) AS feedback_label FROM (
+      SELECT resume_id, feedback_label, row_number() OVER (PARTITION BY resume_id ORDER BY feedback_label IS NULL, ts DESC, event_id DESC) AS rn FROM v_feedback)
+      GROUP BY resume_id)
     SELECT coalesce(b.resume_id, u.resume_id) AS resume_id, b.job_id, coalesce(u.feedback_label, 0)::INTEGER AS feedback_label
     FROM (SELECT resume_id, job_id FROM v_resumes) b FULL JOIN u ON b.resume_id = u.resume_id""",
 )

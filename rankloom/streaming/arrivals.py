@@ -14,13 +14,11 @@ BLOCKED = ("seen_directories.txt",)
 
 
 def read_events(spark: SparkSession, folder: str, glob: str = "events.parquet", files_per_trigger: int = 100) -> DataFrame:
-    """File stream of event messages; a trigger takes a bounded number of files."""
-    return (
-        spark.readStream.schema(EVENTS_SCHEMA)
-        .option("maxFilesPerTrigger", files_per_trigger)
-        .option("pathGlobFilter", glob)
-        .parquet(folder)
-    )
+    """File stream of event messages; a trigger takes a bounded number of files. What
+    ``glob`` names in the folder may be files or folders of part files."""
+    # A stream takes a plain path for a folder; braces make it a pattern, which a file may match too.
+    path = f"{folder.rstrip('/')}/{{{glob}}}"
+    return spark.readStream.schema(EVENTS_SCHEMA).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
 
 
 def finalized(messages: DataFrame) -> DataFrame:
