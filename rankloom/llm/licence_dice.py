@@ -100,9 +100,13 @@ def licence_matches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         kept = F.filter(F.array_compact(F.array(*found)), lambda m: m["dice"] >= least)
         return F.aggregate(kept, F.struct(F.lit(0.0).alias("dice"), F.lit("").alias("licence")), lambda a, m: F.when(m["dice"] > a["dice"], m).otherwise(a))
 
+    def grams(words: Column) -> Column:
+        # n different words make n - 1 different bigrams at least, so long units go before their bigrams are made.
+        return F.when(F.size(F.array_distinct(words)) - 1 <= most, bigrams_of(words)).otherwise(F.array().cast("array<string>"))
+
     def match(u: Column) -> Column:
-        # Over an array of one, so that the bigrams are made once.
-        return F.transform(F.array(bigrams_of(words_of(u["t"]))), lambda g: F.struct(u["unit"].alias("unit"), g.alias("g")))[0]
+        # Over an array of one, so that the words are made once.
+        return F.transform(F.array(words_of(u["t"])), lambda w: F.struct(u["unit"].alias("unit"), grams(w).alias("g")))[0]
 
     with_grams = F.transform("_units", match)
     possible = F.filter(with_grams, lambda u: F.size(u["g"]).between(1, F.lit(most)) & F.arrays_overlap(u["g"], every))
