@@ -10,11 +10,14 @@ four; texts that agree in a band share a bucket. Shared buckets only nominate pa
 a link is an exact Jaccard of 0.8 or more between the shingle sets.
 
 Equal texts (same words in the same order) are one class from the start and go
-through the search once. In a bucket all texts are compared with one of them; links
-are closed to components. Only where a bucket still holds several components are the
-texts outside its largest one compared with the texts of the others. A group of near
-copies so costs one comparison per text and bucket, not one per pair, and no pair
-of a bucket that could join two components is left out.
+through the search once. In a bucket all texts are compared with its most central
+one, that whose buckets hold the most texts in all: copies made from one text agree
+with it more than with each other. Links are closed to components. Where a bucket
+still holds several components, its texts are compared across components by their
+rarest shingles: two sets of a Jaccard of 0.8 share one of the rarest fifth of either,
+whichever order of rarity is taken, so no link between texts of one bucket is left
+out, while texts that share only a common passage do not meet. A group of near copies
+so costs one comparison per text and bucket, not one per pair.
 
 Rows are told apart by id and text; a class carries its least id. Null counts as an
 empty text, and texts without words are equal. Rows that share an id are kept in a
@@ -167,6 +170,32 @@ def _sized(pairs: DataFrame) -> DataFrame:
     return pairs.filter(F.least("n", "n_b") * of >= F.greatest("n", "n_b") * least).select("a", "b").distinct()
 
 
+def across_roots(texts: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, n, b, n_b) of texts of different roots that could still be linked.
+
+    With the shingles of a set of n in one order for all, two sets of a Jaccard of t or
+    more share one of the first n - ceil(t n) + 1 of either. Rare shingles come first, and
+    those found in one text alone only use up places. At the first shingle that a pair
+    shares, what is left of either set bounds all that both share; a pair that is linked
+    passes that bound there, and texts that merely vary around one text do not.
+    """
+    least, of = SIMILAR
+    items = texts.join(sets, "text_key").select("text_key", "root", F.size("members").alias("n"), F.explode("members").alias("shingle"))
+    common = items.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+    held = items.join(common, "shingle").groupBy("text_key", "root", "n").agg(F.array_sort(F.collect_list(F.struct("df", "shingle"))).alias("held")).withColumn("most", F.size("held"))
+    places = F.col("n") - F.ceil(F.col("n") * least / of) + 1 - (F.col("n") - F.col("most"))
+    first = held.withColumn("places", places.cast("int")).filter("places > 0")
+    first = first.select("text_key", "root", "n", "most", F.posexplode(F.slice("held", F.lit(1), F.col("places"))).alias("at", "h"))
+    first = cut_lineage(first.select("text_key", "root", "n", (F.col("most") - F.col("at")).alias("left"), "h.shingle"))
+    counts = first.groupBy("shingle", "root").agg(F.count(F.lit(1)).alias("c"))
+    mixed = counts.groupBy("shingle").agg(F.count(F.lit(1)).alias("roots"), F.max_by("root", F.struct("c", "root")).alias("main")).filter("roots > 1")
+    open_ = cut_lineage(first.join(mixed, "shingle").drop("roots"))
+    strays = open_.filter("root <> main").select("shingle", F.col("text_key").alias("s"), F.col("n").alias("n_b"), F.col("left").alias("left_b"), F.col("root").alias("s_root"))
+    reach = F.least("left", "left_b") * (least + of) >= (F.col("n") + F.col("n_b")) * least
+    met = open_.join(strays, "shingle").filter((F.col("root") != F.col("s_root")) & reach)
+    return met.select(F.greatest("text_key", "s").alias("a"), F.least("text_key", "s").alias("b"), "n", "n_b")
+
+
 def text_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """(rows with their text_key, class of every text_key) as written tables."""
     named = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
@@ -174,10 +203,12 @@ def text_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     signed = cut_lineage(named.mapInArrow(_sign, f"doc_id {id_type}, text_key bigint, n bigint, bands array<bigint>"))
     # One row for each text; equal texts have equal bands.
     texts = signed.groupBy("text_key").agg(F.min("doc_id").alias("doc_id"))
-    members = signed.select("text_key", "n", F.explode("bands").alias("bucket")).distinct()
-    shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("text_key", "n")).alias("pivot")).filter("size > 1").drop("size")
-    shared = cut_lineage(shared)
-    members = cut_lineage(members.join(shared, "bucket").select("bucket", F.col("text_key").alias("a"), "n", F.col("pivot.text_key").alias("b"), F.col("pivot.n").alias("n_b")))
+    found = signed.select("text_key", "n", F.explode("bands").alias("bucket")).distinct()
+    sizes = found.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    members = cut_lineage(found.join(sizes, "bucket"))
+    central = members.groupBy("text_key").agg(F.sum("size").alias("centre"))
+    pivots = members.join(central, "text_key").groupBy("bucket").agg(F.max(F.struct("centre", "text_key", "n")).alias("pivot"))
+    members = cut_lineage(members.join(pivots, "bucket").select("bucket", F.col("text_key").alias("a"), "n", F.col("pivot.text_key").alias("b"), F.col("pivot.n").alias("n_b")))
 
     wanted = cut_lineage(texts.join(members.select(F.col("a").alias("text_key")).distinct(), "text_key", "left_semi"))
     sets = rows_with(named, wanted).mapInArrow(_sets, "text_key bigint, members array<bigint>")
@@ -187,14 +218,12 @@ def text_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     links = cut_lineage(verified(_sized(tried), sets))
     roots = components(links)
 
-    placed = members.select("bucket", "a", "n").join(roots.withColumnRenamed("node", "a"), "a", "left").withColumn("root", F.coalesce("root", "a"))
+    placed = members.select("bucket", "a").join(roots.withColumnRenamed("node", "a"), "a", "left").withColumn("root", F.coalesce("root", "a"))
     placed = cut_lineage(placed)
-    counts = placed.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("c"))
-    mixed = counts.groupBy("bucket").agg(F.count(F.lit(1)).alias("roots"), F.max_by("root", F.struct("c", "root")).alias("main")).filter("roots > 1")
-    open_ = cut_lineage(placed.join(mixed, "bucket").select("bucket", "a", "n", "root", "main"))
-    strays = open_.filter("root <> main").select("bucket", F.col("a").alias("s"), F.col("n").alias("n_b"), F.col("root").alias("s_root"))
-    across = open_.join(strays, "bucket").filter("root <> s_root").select(F.greatest("a", "s").alias("a"), F.least("a", "s").alias("b"), "n", "n_b")
-    more = verified(_sized(across).join(_sized(tried), ["a", "b"], "left_anti"), sets)
+    mixed = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("bucket")
+    unsettled = cut_lineage(placed.join(mixed, "bucket", "left_semi").select(F.col("a").alias("text_key"), "root").distinct())
+    across = cut_lineage(_sized(across_roots(unsettled, sets)))
+    more = verified(across.join(_sized(tried), ["a", "b"], "left_anti"), sets)
     links = cut_lineage(links.unionAll(more))
     roots = components(links)
 
