@@ -82,8 +82,8 @@ def degree_of(text: Column) -> Column:
     return c.otherwise("None")
 
 
-def requirements(jobs: DataFrame, lexicon: DataFrame, cue: str = PREFERRED_CUE, duties: int = 8) -> DataFrame:
-    """Required and preferred skills, years, degree and duties of every posting."""
+def requirements(jobs: DataFrame, lexicon: DataFrame, cue: str = PREFERRED_CUE) -> DataFrame:
+    """Required and preferred skills, years, degree and all duties of every posting."""
     text = F.col("job_text")
     parts = jobs.withColumn("_parts", sentences(text))
     split = parts.select(
@@ -99,12 +99,12 @@ def requirements(jobs: DataFrame, lexicon: DataFrame, cue: str = PREFERRED_CUE,
         F.array_except("preferred_skills", "required_skills").alias("preferred_skills"),
         years_of(text).alias("min_years_experience"),
         degree_of(text).alias("education_required"),
-        F.slice("_parts", 1, duties).alias("key_responsibilities"),
+        F.col("_parts").alias("key_responsibilities"),
     )
 
 
-def profiles(resumes: DataFrame, lexicon: DataFrame, titles: int = 3, projects: int = 5) -> DataFrame:
-    """Skills, years, highest degree, latest titles and projects of every resume."""
+def profiles(resumes: DataFrame, lexicon: DataFrame) -> DataFrame:
+    """Skills, years, highest degree, all titles, latest first, and projects of every resume."""
     text = F.col("resume_text")
     lines = F.filter(F.transform(F.split(text, "\n"), lambda s: F.trim(s)), lambda s: s != "")
     resumes = resumes.withColumn("_lines", lines)
@@ -115,8 +115,8 @@ def profiles(resumes: DataFrame, lexicon: DataFrame, titles: int = 3, projects:
         "skills",
         years_of(text).alias("years_experience"),
         degree_of(text).alias("education"),
-        F.slice(F.filter("_lines", lambda s: s.rlike(TITLE_LINE)), 1, titles).alias("recent_titles"),
-        F.slice(F.filter("_lines", lambda s: s.rlike(PROJECT_LINE)), 1, projects).alias("projects"),
+        F.filter("_lines", lambda s: s.rlike(TITLE_LINE)).alias("recent_titles"),
+        F.filter("_lines", lambda s: s.rlike(PROJECT_LINE)).alias("projects"),
     )
 
 

@@ -90,11 +90,8 @@ def a9(spark, d):
     listing = X.table(spark, d, "events").select(
         F.concat(F.lit("data/"), "event_type", F.lit("_"), F.lpad(F.col("event_id").cast("string"), 12, "0")).alias("path"), F.col("ts").alias("modified")
     )
-    parts = None
-    for prefix in ("view", "click", "signup", "purchase", "error"):
-        one = FS.latest_snapshot(listing, prefix).select(F.lit(prefix).alias("prefix"), F.substring_index("path", "_", -1).cast("bigint").alias("latest"))
-        parts = one if parts is None else parts.unionByName(one)
-    return parts
+    newest = FS.latest_snapshots(listing, FS.file_prefix(F.col("path")))
+    return newest.select("prefix", F.substring_index("path", "_", -1).cast("bigint").alias("latest"))
 
 
 @query("a10_csv_snapshot", "SELECT doc_id::VARCHAR AS doc_id, text FROM documents")

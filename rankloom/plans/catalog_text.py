@@ -327,7 +327,7 @@ FULL_JOBS = sql_full_jobs(CUE)
     f"""WITH {FULL_JOBS} SELECT job_id, array_to_string(list_sort(need), ',') AS required_skills,
     array_to_string(list_sort(list_filter(want, lambda t: NOT list_contains(need, t))), ',') AS preferred_skills,
     {SQL_YEARS.format(t='job_text')} AS min_years_experience, {SQL_DEGREE.format(t='job_text')} AS education_required,
-    array_to_string(parts[1:8], '|') AS key_responsibilities FROM skilled""",
+    array_to_string(parts, '|') AS key_responsibilities FROM skilled""",
 )
 def e17(spark, d):
     r = E.requirements(full_jobs(spark, d), X.lexicon(spark, d), cue=CUE)
@@ -350,8 +350,8 @@ FULL_CVS = f"""full_cvs AS (SELECT *, list_filter(list_transform(string_split(re
     "e18_profiles",
     f"""WITH {FULL_CVS} SELECT resume_id, array_to_string(list_sort(skills), ',') AS skills, {SQL_YEARS.format(t='resume_text')} AS years_experience,
     {SQL_DEGREE.format(t='resume_text')} AS education,
-    array_to_string(list_filter(lines, lambda s: regexp_matches(s, {q(E.TITLE_LINE)}))[1:3], '|') AS recent_titles,
-    array_to_string(list_filter(lines, lambda s: regexp_matches(s, {q(E.PROJECT_LINE)}))[1:5], '|') AS projects FROM full_cvs""",
+    array_to_string(list_filter(lines, lambda s: regexp_matches(s, {q(E.TITLE_LINE)})), '|') AS recent_titles,
+    array_to_string(list_filter(lines, lambda s: regexp_matches(s, {q(E.PROJECT_LINE)})), '|') AS projects FROM full_cvs""",
 )
 def e18(spark, d):
     p = E.profiles(full_resumes(spark, d), X.lexicon(spark, d))

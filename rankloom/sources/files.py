@@ -13,7 +13,7 @@ from collections.abc import Callable, Iterator
 from xml.etree import ElementTree
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankloom.functions.text import html_text
@@ -114,14 +114,25 @@ def page_text(pages: DataFrame, html: str = "html") -> DataFrame:
     return pages.withColumn("text", html_text(F.col(html))).drop(html)
 
 
+def file_prefix(path: Column) -> Column:
+    """Name of a file before its last underscore; null where it has none."""
+    return F.nullif(F.regexp_extract(F.substring_index(path, "/", -1), "^(.+)_[^_]*$", 1), F.lit(""))
+
+
+def latest_snapshots(files: DataFrame, prefix: Column) -> DataFrame:
+    """(prefix, path, modified) of the newest file of every prefix, in one pass;
+    input columns path and modified. Ties go to the last path; files without a
+    prefix are of no snapshot."""
+    named = files.select(prefix.alias("prefix"), "path", "modified").filter("prefix is not null")
+    newest = named.groupBy("prefix").agg(F.max(F.struct("modified", "path")).alias("newest"))
+    return newest.select("prefix", "newest.path", "newest.modified")
+
+
 def latest_snapshot(files: DataFrame, prefix: str) -> DataFrame:
     """The newest file by modification time among those whose name starts with
     ``prefix``; input columns path and modified."""
-    base = F.substring_index("path", "/", -1)
-    mine = files.filter(base.startswith(prefix))
-    return mine.agg(F.max_by("path", F.struct("modified", "path")).alias("path"), F.max("modified").alias("modified")).filter(
-        F.col("path").isNotNull()
-    )
+    mine = F.when(F.substring_index("path", "/", -1).startswith(prefix), F.lit(prefix))
+    return latest_snapshots(files, mine).select("path", "modified")
 
 
 def require_snapshot(files: DataFrame, prefix: str) -> str:

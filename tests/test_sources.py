@@ -57,6 +57,9 @@ def test_latest_snapshot(spark):
     assert FS.require_snapshot(df, "train") == "d/train_2.csv"
     with pytest.raises(FileNotFoundError, match="prod"):
         FS.require_snapshot(df, "prod")
+    more = df.union(spark.createDataFrame([("d/train_3.csv", 5), ("d/new_kind_1.csv", 2), ("d/plain.csv", 99), (None, 7)], df.schema))
+    got = {r["prefix"]: r["path"] for r in FS.latest_snapshots(more, FS.file_prefix(more["path"])).collect()}
+    assert got == {"train": "d/train_3.csv", "test": "d/test_9.csv", "new_kind": "d/new_kind_1.csv"}
 
 
 def test_csv_round_trip(spark, tmp_path):
