@@ -75,9 +75,10 @@ def _word(part: Column, side: str) -> Column:
     return F.lower(F.regexp_replace(found, r"[^\p{L}\p{N}]", ""))
 
 
-def with_spans(df: DataFrame, text: str, name: str, pattern: str, hint: str, whole_context: bool = False) -> DataFrame:
-    """Add ``name``: the matches of a pattern with their places and neighbouring words,
-    or with the CONTEXT_CHARS characters on either side up to the next match."""
+def with_spans(df: DataFrame, text: str, name: str, pattern: str, hint: str, shortest: int | None = None) -> DataFrame:
+    """Add ``name``: the matches of a pattern with their places and neighbouring words, or,
+    for matches of ``shortest`` characters at least, with the CONTEXT_CHARS characters of the
+    text on either side, other matches among them."""
     found, gaps = F.col(f"_{name}_found"), F.col(f"_{name}_gaps")
     none = F.array().cast("array<string>")
     df = df.withColumn(f"_{name}_found", F.when(F.col(text).rlike(hint), F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(0))).otherwise(none))
@@ -86,11 +87,26 @@ def with_spans(df: DataFrame, text: str, name: str, pattern: str, hint: str, who
     steps = F.transform(found, lambda m, i: (F.length(m) + F.length(F.get(gaps, i + 1))).cast("bigint"))
     df = df.withColumn(f"_{name}_at", F.when(F.size(found) > 0, sums_before(steps)).otherwise(F.array().cast("array<bigint>")))
 
+    def around(i: Column) -> tuple[Column, Column]:
+        # So many matches at most are among the characters; of each piece no more than those can count.
+        reach = -(-CONTEXT_CHARS // shortest)
+        near = F.sequence(F.lit(0), F.lit(2 * reach))
+
+        def piece(n: Column, j: Column, cut) -> Column:
+            return F.coalesce(F.when(j >= 0, cut(F.when(n % 2 == 0, F.get(gaps, j)).otherwise(F.get(found, j)), F.lit(CONTEXT_CHARS))), F.lit(""))
+
+        # gap i - reach, match i - reach, ... gap i, and gap i + 1, match i + 1, ... gap i + 1 + reach.
+        left = F.transform(near, lambda n: piece(n, i - reach + F.floor(n / 2).cast("int"), F.right))
+        right = F.transform(near, lambda n: piece(n, i + 1 + F.floor(n / 2).cast("int"), F.left))
+        return F.right(F.array_join(left, ""), F.lit(CONTEXT_CHARS)), F.left(F.array_join(right, ""), F.lit(CONTEXT_CHARS))
+
     def span(m: Column, i: Column) -> Column:
         start = F.get(F.col(f"_{name}_at"), i) + F.length(F.get(gaps, F.lit(0)))
-        before, after = F.right(F.get(gaps, i), F.lit(CONTEXT_CHARS)), F.left(F.get(gaps, i + 1), F.lit(CONTEXT_CHARS))
-        if not whole_context:
-            before, after = _word(before, "before"), _word(after, "after")
+        if shortest is None:
+            before = _word(F.right(F.get(gaps, i), F.lit(CONTEXT_CHARS)), "before")
+            after = _word(F.left(F.get(gaps, i + 1), F.lit(CONTEXT_CHARS)), "after")
+        else:
+            before, after = around(i)
         return F.struct(start.alias("start"), (start + F.length(m)).alias("end"), m.alias("text"), before.alias("before"), after.alias("after"))
 
     df = df.withColumn(name, F.transform(found, span).cast(f"array<{_SPAN}>"))

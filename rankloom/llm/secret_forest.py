@@ -31,7 +31,8 @@ from rankloom.llm.common import query, table
 from rankloom.llm.personal_data import with_spans
 from rankloom.session import cut_lineage
 
-CANDIDATE = r"(?<![A-Za-z0-9_+/-])[A-Za-z0-9_+/-]{12,}+={0,2}"
+SHORTEST = 12
+CANDIDATE = rf"(?<![A-Za-z0-9_+/-])[A-Za-z0-9_+/-]{{{SHORTEST},}}+={{0,2}}"
 TRAIN_ROWS = 10_000
 TREES, DEPTH, SEED = 24, 6, 17
 
@@ -46,7 +47,8 @@ def findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pa
     """One row per candidate: id, start, end, finding, before, after, path."""
     path = F.col(path_col).cast("string") if path_col else F.lit(None).cast("string")
     df = docs.select(F.col(id_col), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"), path.alias("_path"))
-    df = with_spans(df, "_text", "_found", CANDIDATE, "[0-9]", whole_context=True)
+    df = with_spans(df, "_text", "_found", CANDIDATE, "[0-9]", shortest=SHORTEST)
+    # After the contexts are made: runs without a digit may be the names of what follows.
     kept = F.filter("_found", lambda s: s["text"].rlike("[0-9]"))
     return df.select(id_col, F.coalesce("_path", F.lit("")).alias("path"), F.explode(kept).alias("s")).select(id_col, "path", "s.start", "s.end", F.col("s.text").alias("finding"), "s.before", "s.after")
 

@@ -22,6 +22,25 @@ def test_candidates_equal_plain_matching(docs_of):
     assert S.findings(docs_of([])).count() == 0
 
 
+def test_context_is_the_whole_text(docs_of):
+    rng = random.Random(4)
+    bits = ["abcdefghijkl", "é\n", " ", "=", ": ", '"', "A1b2C3d4E5f6", "x1" * 40, "pass", "y" * 70]
+    texts = ["".join(rng.choice(bits) for _ in range(rng.randint(1, 40))) for _ in range(80)]
+    rows = S.findings(docs_of(list(enumerate(texts)))).collect()
+    assert len(rows) > 100
+    for r in rows:
+        t = texts[r["doc_id"]]
+        assert (r["before"], r["after"]) == (t[max(0, r["start"] - 60) : r["start"]], t[r["end"] : r["end"] + 60])
+
+
+def test_long_names_are_names(docs_of):
+    rng = random.Random(5)
+    names = ["AWS_SECRET_ACCESS_KEY=", "GITHUB_TOKEN=", 'client_secret: "', '"client_secret": "', "export GITHUB_TOKEN_2='", "authorization_token = "]
+    found = S.described(S.findings(docs_of([(i, n + secret(rng)) for i, n in enumerate(names)]))).filter("length(finding) = 40")
+    rows = S.judged(found, None).collect()
+    assert len(rows) == len(names) and all(r["named"] == 1 and r["assigned"] == 1 and r["is_secret"] for r in rows)
+
+
 def test_forest_learns_from_labelled_findings(spark, docs_of):
     rng = random.Random(3)
     rows, truth = [], {}
