@@ -63,6 +63,21 @@ def test_approximate_search_finds_most(spark):
     assert exact.join(near, ["job_id", "section", "candidate_id"]).count() >= 0.8 * exact.count()
 
 
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.1"])
+def test_approximate_search_recalls_the_full_lists(spark, sf):
+    from rankloom.operators.matching import section_matches
+    from rankloom.plans import fixtures as X
+
+    d = f"/root/testdata/{sf}"
+    exact = section_matches(X.sections(spark, d), X.job_vectors(spark, d))
+    near = N.approximate_matches(X.sections(spark, d), X.job_vectors(spark, d))
+    assert near.columns == exact.columns
+    both = exact.join(near.drop("rank"), ["job_id", "section", "candidate_id", "similarity"])
+    assert near.count() <= exact.count() and both.count() >= 0.9 * exact.count()
+    ranks = near.groupBy("job_id", "section").agg(F.max("rank").alias("last"), F.count("*").alias("n")).collect()
+    assert all(r["last"] == r["n"] <= 100 for r in ranks)
+
+
 def test_fit_model_smoke(spark):
     ids = spark.range(400).withColumnRenamed("id", "k")
     model = G.fit_score_model(G.synthetic_candidates(ids, "k"), trees=10)
