@@ -122,13 +122,13 @@ def l7(spark, d):
 
 
 def score_model(spark, d):
-    return G.fit_score_model(G.synthetic_candidates(X.table(spark, d, "documents").select("doc_id"), "doc_id"), trees=20)
+    return G.fit_score_model(G.synthetic_candidates(X.table(spark, d, "documents").select("doc_id"), "doc_id"))
 
 
 @query("l6_fit_model")
 def l6(spark, d):
     rows = cut_lineage(G.synthetic_candidates(X.table(spark, d, "documents").select("doc_id"), "doc_id"))
-    scored = G.with_probability(G.fit_score_model(rows, trees=20), rows)
+    scored = G.with_probability(G.fit_score_model(rows), rows)
     return K.confusion(scored.select(F.col("label").alias("y"), "yhat"))
 
 
@@ -150,7 +150,7 @@ def l4(spark, d):
     rows = both.select(F.col("vec_id").alias("id"), F.col("features").alias("vector"), F.when(F.col("label") < 3, 1).otherwise(0).alias("label"))
     test, train = N.split_points(rows)
     balanced = cut_lineage(N.oversample(train)).select("label", array_to_vector("vector").alias("features"))
-    model = G.boosted_trees_on_vectors(trees=5, depth=4).fit(balanced)
+    model = G.boosted_trees_on_vectors().fit(balanced)
     pred = G.with_probability(model, test.select("id", F.col("label").alias("y"), array_to_vector("vector").alias("features")))
     return K.classification_report(pred)
 
@@ -160,7 +160,7 @@ def l5(spark, d):
     pairs = X.pairs(spark, d)
     feats = G.pair_features(pairs.filter(F.col("label") != "Potential Fit"), X.jobs(spark, d), X.lexicon(spark, d)).withColumn("label", L.numeric_target(F.col("label")))
     cut = cut_lineage(L.exact_split(feats, "pair_id"))
-    model = G.boosted_trees(G.PAIR_FEATURES, trees=10).fit(cut.filter("split = 'train'"))
+    model = G.boosted_trees(G.PAIR_FEATURES).fit(cut.filter("split = 'train'"))
     pred = cut_lineage(G.with_probability(model, cut.filter("split = 'test'"), "score").withColumnRenamed("label", "y"))
     return K.precision_recall_f1(pred).withColumns(
         {"accuracy": K.accuracy(pred).scalar(), "auc": K.roc_auc(pred).scalar(), "log_loss": K.log_loss(pred).scalar()}
@@ -171,7 +171,7 @@ def l5(spark, d):
 def l3(spark, d):
     folded = L.assign_folds(points(spark, d), "label", "id")
     rows = cut_lineage(folded.select("id", "fold", "label", "vector")).select("fold", "label", array_to_vector(V.as_double(F.col("vector"))).alias("features"))
-    model, grid = G.tune_forest(rows, trees=(10, 20), depths=(5,), leaves=(1, 4))
+    model, grid = G.tune_forest(rows)
     # One row per parameter set: a few rows made on the driver.
     out = [(*[int(v) for _, v in sorted(((p.name, v) for p, v in g.items()))], float(m)) for g, m in zip(grid, model.avgMetrics)]
     return spark.createDataFrame(out, "max_depth int, min_leaf int, trees int, accuracy double")

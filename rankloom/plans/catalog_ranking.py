@@ -272,7 +272,7 @@ def g11(spark, d):
 
 @query("g11_bradley_terry_converged")
 def g11_full(spark, d):
-    fit = P.fit_strengths(compared(spark, d), "job_id", max_steps=30, tolerance=1e-4)
+    fit = P.fit_strengths(compared(spark, d), "job_id")
     return P.ranked_strengths(P.normalised(fit, "job_id"), "job_id").select("job_id", "item", "score", "rank")
 
 
