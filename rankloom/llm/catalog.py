@@ -17,6 +17,7 @@ MODULES = [
     "packing",
     "winnowing",
     "secret_forest",
+    "chunk_recipes",
 ]
 for _m in MODULES:
     importlib.import_module(f"rankloom.llm.{_m}")
