@@ -18,6 +18,7 @@ MODULES = [
     "winnowing",
     "secret_forest",
     "chunk_recipes",
+    "phrases",
 ]
 for _m in MODULES:
     importlib.import_module(f"rankloom.llm.{_m}")
