@@ -19,6 +19,7 @@ MODULES = [
     "secret_forest",
     "chunk_recipes",
     "phrases",
+    "spelling",
 ]
 for _m in MODULES:
     importlib.import_module(f"rankloom.llm.{_m}")
