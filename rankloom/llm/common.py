@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ ORACLES: dict[str, str] = {}
 #: Column that numbers the input rows while an operator works; repeated ids stay apart.
 ROW = "_row_id"
 #: Distinct words a Python worker remembers between tasks.
-MEMO_WORDS = 200_000
+MEMO_WORDS = 50_000
 
 
 def query(name: str, sql: str | None = None):
@@ -93,6 +94,18 @@ def text_bytes(column: pa.Array) -> Iterator[bytes]:
         yield v.as_py() or b""
 
 
+def in_parts(column: pa.Array, rows: int, size: int = 4 << 20) -> Iterator[tuple[int, int]]:
+    """Places (from, to) that cut a column of texts into parts of ``rows`` texts and about
+    ``size`` bytes at most; a longer text is a part of its own."""
+    ends = np.cumsum(np.nan_to_num(pc.binary_length(column).to_numpy(zero_copy_only=False).astype(np.float64)))
+    at = 0
+    while at < len(column):
+        before = ends[at - 1] if at else 0
+        to = min(at + rows, max(at + 1, int(np.searchsorted(ends, before + size, side="right"))))
+        yield at, to
+        at = to
+
+
 def list_column(values: np.ndarray | pa.Array, lengths: np.ndarray) -> pa.ListArray:
     """List array from flat values and the length of each list."""
     offsets = np.zeros(len(lengths) + 1, np.int32)
@@ -116,9 +129,10 @@ def _slots_of(ids: DataFrame) -> DataFrame:
 
 
 def _wanted(docs: DataFrame, ids: DataFrame, id_col: str):
+    """Rows are packed, so that no column of theirs meets one of the join."""
     wanted = ids.select(F.col(id_col).alias("_wanted")).distinct()
-    marked = docs.withColumn("_slot", F.pmod(F.xxhash64(id_col), F.lit(FILTER_SLOTS)))
-    return wanted, marked, _slots_of(wanted), docs[id_col].eqNullSafe(F.col("_wanted"))
+    marked = docs.select(F.struct("*").alias("_row"), F.col(id_col).alias("_id"), F.pmod(F.xxhash64(id_col), F.lit(FILTER_SLOTS)).alias("_slot"))
+    return wanted, marked, _slots_of(wanted), F.col("_id").eqNullSafe(F.col("_wanted"))
 
 
 def rows_with(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -128,12 +142,12 @@ def rows_with(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFr
     rows out of the shuffle while the ids are few. ``ids`` should be a written table.
     """
     wanted, marked, slots, same = _wanted(docs, ids, id_col)
-    return marked.join(slots, "_slot", "left_semi").join(wanted, same, "left_semi").select(*docs.columns)
+    return marked.join(slots, "_slot", "left_semi").join(wanted, same, "left_semi").select("_row.*")
 
 
 def without_ids(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Rows of ``docs`` whose id is not in ``ids``; null counts as a value."""
     wanted, marked, slots, same = _wanted(docs, ids, id_col)
-    clear = marked.join(slots, "_slot", "left_anti").select(*docs.columns)
-    doubtful = marked.join(slots, "_slot", "left_semi").join(wanted, same, "left_anti").select(*docs.columns)
+    clear = marked.join(slots, "_slot", "left_anti").select("_row.*")
+    doubtful = marked.join(slots, "_slot", "left_semi").join(wanted, same, "left_anti").select("_row.*")
     return clear.unionAll(doubtful)

@@ -8,24 +8,25 @@ words of a text, with a penalty for every change of language, labels spans. The
 language of a text is the one with the most words; the score is its share of words.
 
 Text that is null or has no letter, and any text when no language was learned, is
-``und`` with score 0. Ties go to the language that sorts first. Rows are judged one
+``und`` with score 0; digits and signs of any script are no letters. Ties go to the language that sorts first. Rows are judged one
 by one, so repeated rows and ids do no harm; further columns are not read. An empty
-table gives no rows. The model's size is bounded by languages times hash slots.
+table gives no rows. Texts are taken in parts of bounded size; a very long one is a part
+of its own. The model's size is bounded by languages times hash slots.
 """
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankloom.llm.common import crc32_of, list_column, mix, query, table
+from rankloom.llm.common import crc32_of, in_parts, list_column, mix, query, table
 
 SLOTS = 1 << 15
 SWITCH = 12.0
@@ -81,11 +82,13 @@ SCRIPT_STARTS = np.array([s for s, _ in SCRIPTS])
 SCRIPT_NAMES = sorted({n for _, n in SCRIPTS})
 SCRIPT_OF_RANGE = np.array([SCRIPT_NAMES.index(n) for _, n in SCRIPTS])
 
-_WORD = re.compile(r"[^\W\d_]+")
+_WORD = regex.compile(r"\p{L}+")
 
 
 def words_in(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+    """Words in lower case, as many as the text has before it is lowered."""
+    lowered = text.lower()
+    return _WORD.findall(lowered) if len(lowered) == len(text) else [w.lower() for w in _WORD.findall(text)]
 
 
 def letter_groups(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -115,8 +118,8 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     totals: dict[str, np.ndarray] = {}
     for batch in batches:
         by: dict[str, Counter] = {}
-        for at in range(0, batch.num_rows, SLICE_TEXTS):
-            part = batch.slice(at, SLICE_TEXTS)
+        for at, to in in_parts(batch.column(0), SLICE_TEXTS):
+            part = batch.slice(at, to - at)
             for text, lang in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
                 by.setdefault(lang, Counter()).update(words_in(text))
         for lang, counter in by.items():
@@ -238,7 +241,7 @@ def _spans(text: str, labels: np.ndarray, names: list[str]) -> list[dict]:
     turns = np.flatnonzero(np.diff(labels)) + 1
     if len(turns):
         lowered = text.lower()
-        at = [m.start() for m in _WORD.finditer(lowered if len(lowered) == len(text) else text)]
+        at = [m.start() for m in _WORD.finditer(lowered if len(lowered) == len(text) else text)]  # as words_in finds them
         cuts = [0, *[at[t] if t < len(at) else len(text) for t in turns], len(text)]
     else:
         cuts = [0, len(text)]
@@ -253,8 +256,8 @@ def predictions(docs: DataFrame, model: Languages, keep: list[str], text_col: st
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.struct([("lang", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
         for batch in batches:
-            for at in range(0, batch.num_rows, SLICE_TEXTS):
-                part = batch.slice(at, SLICE_TEXTS)
+            for at, to in in_parts(batch.column(1), SLICE_TEXTS):
+                part = batch.slice(at, to - at)
                 texts = part.column(1).to_pylist()
                 found = _label(texts, model)
                 spans = [_spans(t, labels, model.names) if len(labels) else [] for t, (_, _, labels) in zip(texts, found)]
@@ -271,16 +274,16 @@ def predictions(docs: DataFrame, model: Languages, keep: list[str], text_col: st
 
 def accepted(docs: DataFrame, model: Languages, least: float = LEAST_SHARE) -> DataFrame:
     """Documents with a language that at least ``least`` of their words speak."""
-    columns = docs.columns
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, SLICE_TEXTS):
-                part = batch.slice(at, SLICE_TEXTS)
-                found = _label(part.column(columns.index("text")).to_pylist(), model)
-                yield part.filter(pa.array([lang != UNKNOWN and score >= least for lang, score, _ in found], pa.bool_()))
+    @F.arrow_udf("boolean")
+    def speaks(texts: pa.Array) -> pa.Array:
+        out = []
+        for at, to in in_parts(texts, SLICE_TEXTS):
+            out += [lang != UNKNOWN and score >= least for lang, score, _ in _label(texts.slice(at, to - at).to_pylist(), model)]
+        return pa.array(out, pa.bool_())
 
-    return docs.mapInArrow(run, docs.schema)
+    # Only the text goes to Python; the other columns stay where they are.
+    return docs.filter(speaks(F.col("text").cast("string")))
 
 
 def trained(docs: DataFrame) -> Languages:

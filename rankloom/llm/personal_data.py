@@ -218,7 +218,7 @@ def redacted(docs: DataFrame) -> DataFrame:
     found = personal_data(docs).filter(F.size("spans") > 0).select("doc_id", "_text_hash", "spans")
     found = cut_lineage(found.groupBy("doc_id", "_text_hash").agg(F.first("spans").alias("spans")))
     ordered = F.array_sort(F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
-    text = F.col("text")
+    text = F.col("_row.text")
     joined = F.aggregate(
         ordered,
         F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out")),
@@ -231,11 +231,16 @@ def redacted(docs: DataFrame) -> DataFrame:
         lambda a: F.concat(a["out"], F.substring(text, (a["at"] + 1).cast("int"), F.length(text))),
     )
     mine = found.select(F.col("doc_id").alias("_id"), F.col("_text_hash").alias("_hash"), "spans")
-    dirty = rows_with(docs, found).withColumn("_own", F.xxhash64(F.coalesce("text", F.lit(""))))
-    dirty = dirty.join(mine, dirty["doc_id"].eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_hash")), "left")
-    clean_text = F.when(F.col("spans").isNull(), text).otherwise(joined)
-    dirty = dirty.withColumn("text", clean_text).withColumn("n_chars", F.when(F.col("spans").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
-    return without_ids(docs, found).unionByName(dirty.select(*docs.columns))
+    # Rows are packed, so that no column of theirs meets one of the join.
+    dirty = rows_with(docs, found).select(F.struct("*").alias("_row"), F.col("doc_id").alias("_doc"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("_own"))
+    dirty = dirty.join(mine, F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_hash")), "left")
+    changed = {"text": F.when(F.col("spans").isNull(), text).otherwise(joined)}
+    dirty = dirty.withColumn("_clean", changed["text"])
+    changed["text"] = F.col("_clean")
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        changed["n_chars"] = F.when(F.col("spans").isNull(), F.col("_row.n_chars")).otherwise(F.length("_clean").cast(kind))
+    return without_ids(docs, found).unionByName(dirty.select(*[changed.get(c, F.col("_row")[c]).alias(c) for c in docs.columns]))
 
 
 def digest(spans: Column) -> Column:
