@@ -3,11 +3,9 @@
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -73,23 +71,6 @@ def pair_features(pairs: DataFrame, jobs: DataFrame, lexicon: DataFrame) -> Data
     )
 
 
-def tune_forest(
-    training: DataFrame,
-    trees: tuple[int, ...] = (100, 200, 300),
-    depths: tuple[int, ...] = (30, 10, 20),
-    leaves: tuple[int, ...] = (1, 2, 4),
-    folds: int = 3,
-    parallelism: int = 4,
-):
-    """Grid search of a random forest by accuracy over given folds. ``training`` has
-    features (vector), label and fold."""
-    rf = RandomForestClassifier(featuresCol="features", labelCol="label", seed=42)
-    grid = ParamGridBuilder().addGrid(rf.numTrees, list(trees)).addGrid(rf.maxDepth, list(depths)).addGrid(rf.minInstancesPerNode, list(leaves)).build()
-    judge = MulticlassClassificationEvaluator(labelCol="label", predictionCol="prediction", metricName="accuracy")
-    cv = CrossValidator(estimator=rf, estimatorParamMaps=grid, evaluator=judge, numFolds=folds, foldCol="fold", parallelism=parallelism, seed=42)
-    return cv.fit(training), grid
-
-
 def ranking_pairs(rows: DataFrame, query: str, key: str, label: str, vector: str, per_row: int = 32) -> DataFrame:
     """Difference vectors of relevant minus other rows of a query.
 
@@ -128,7 +109,7 @@ def fit_ranker(pairs: DataFrame, iterations: int = 50, regularisation: float = 0
 def ranking_scores(rows: DataFrame, vector: str, weights: list[float]) -> DataFrame:
     w = F.array(*[F.lit(x) for x in weights])
     dot = F.aggregate(F.zip_with(vector, w, lambda a, b: a * b), F.lit(0.0), lambda acc, x: acc + x)
-    return rows.withColumn("score", F.round(dot, 4))
+    return rows.withColumn("score", dot)
 
 
 def label_codes(train: DataFrame, rows: DataFrame, label: str, out: str) -> DataFrame:

@@ -11,6 +11,8 @@ from rankloom.operators import learning as G
 from rankloom.operators import matching as M
 from rankloom.operators import metrics as K
 from rankloom.operators import neighbours as N
+from rankloom.operators.forest_grid import forest_grid
+from rankloom.operators.tree_ranker import fit_tree_ranker, ranker_scores
 from rankloom.plans import fixtures as X
 from rankloom.plans.registry import query
 from rankloom.session import cut_lineage, scratch_path
@@ -171,20 +173,26 @@ def l5(spark, d):
 def l3(spark, d):
     folded = L.assign_folds(points(spark, d), "label", "id")
     rows = cut_lineage(folded.select("id", "fold", "label", "vector")).select("fold", "label", array_to_vector(V.as_double(F.col("vector"))).alias("features"))
-    model, grid = G.tune_forest(rows)
-    # One row per parameter set: a few rows made on the driver.
-    out = [(*[int(v) for _, v in sorted(((p.name, v) for p, v in g.items()))], float(m)) for g, m in zip(grid, model.avgMetrics)]
-    return spark.createDataFrame(out, "max_depth int, min_leaf int, trees int, accuracy double")
+    return spark.createDataFrame(forest_grid(rows), "max_depth int, min_split int, min_leaf int, trees int, accuracy double")
+
+
+def ranking_rows(spark, d):
+    e = X.table(spark, d, "embeddings")
+    vector = V.as_double(F.col("embedding"))
+    return e.select((F.col("vec_id") % 20).alias("qid"), F.col("vec_id").alias("id"), F.when(F.col("label") < 3, 1).otherwise(0).alias("y"), vector.alias("vector"), array_to_vector(vector).alias("features"))
 
 
 @query("l8_learning_to_rank")
 def l8(spark, d):
-    e = X.table(spark, d, "embeddings")
-    rows = e.select(
-        (F.col("vec_id") % 20).alias("qid"), F.col("vec_id").alias("id"), F.when(F.col("label") < 3, 1).otherwise(0).alias("y"), V.as_double(F.col("embedding")).alias("vector")
-    )
+    rows = ranking_rows(spark, d)
+    return K.average_precision(ranker_scores(rows, fit_tree_ranker(rows, "qid", "y")), "qid", "score", "y", "id", 10**9)
+
+
+@query("l8_linear_ranker")
+def l8_linear(spark, d):
+    rows = ranking_rows(spark, d).drop("features")
     weights = G.fit_ranker(cut_lineage(G.ranking_pairs(rows, "qid", "id", "y", "vector")))
-    return K.average_precision(G.ranking_scores(rows, "vector", weights), "qid", "score", "y", "id", 10000)
+    return K.average_precision(G.ranking_scores(rows, "vector", weights), "qid", "score", "y", "id", 10**9)
 
 
 @query(
