@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rankloom.functions import wordlists as W
 from rankloom.functions.portable import hash32, truthy
-from rankloom.operators.spread import id_cell, keep_first, keep_last, running_totals, top_k
+from rankloom.operators.spread import keep_first, keep_last, running_totals, top_k
 
 PAIR_COLUMNS = ["resume_text", "job_description_text", "label"]
 
@@ -171,5 +171,5 @@ def assign_folds(df: DataFrame, label: str, key: str, folds: int = 3, seed: str
 
 def batch_numbers(df: DataFrame, queue: list[str], key: str, size: int) -> DataFrame:
     """Batch number of every row: consecutive runs of ``size`` rows per queue."""
-    ranked = running_totals(df, queue, [F.col(key)], [id_cell(key)], {"_rank": F.lit(1)})
+    ranked = running_totals(df, queue, [F.col(key)], [key], {"_rank": F.lit(1)})
     return ranked.withColumn("batch", F.floor((F.col("_rank") - 1) / size).cast("bigint")).drop("_rank")

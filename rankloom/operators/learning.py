@@ -14,7 +14,7 @@ from rankloom.functions import wordlists as W
 from rankloom.functions.portable import hash32, uniform
 from rankloom.operators import extraction as E
 from rankloom.operators import terms as I
-from rankloom.operators.spread import id_cell, lookup_join, running_totals
+from rankloom.operators.spread import lookup_join, running_totals
 
 SCORE_FEATURES = ["skills", "experience", "education", "projects", "missing"]
 PAIR_FEATURES = ["jaccard", "tfidf_cosine", "resume_length", "jd_length", "resume_readability", "jd_readability", "entity_overlap"]
@@ -78,7 +78,7 @@ def ranking_pairs(rows: DataFrame, query: str, key: str, label: str, vector: str
     start, or all of them if there are fewer; the full product is never built.
     """
     placed = running_totals(
-        rows.select(query, key, label, vector), [query, label], [F.col(key)], [id_cell(key)], {"_pos": F.lit(1)}, {"_n": "_pos"}
+        rows.select(query, key, label, vector), [query, label], [F.col(key)], [key], {"_pos": F.lit(1)}, {"_n": "_pos"}
     )
     others = placed.filter(F.col(label) == 0)
     sizes = others.groupBy(query).agg(F.max("_n").alias("_others"))

@@ -6,8 +6,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
-from rankloom.operators.spread import id_cell, running_totals
+from rankloom.operators.spread import running_totals
 
 EPS = 2.220446049250313e-16
 
@@ -132,7 +133,7 @@ def average_precision(pred: DataFrame, query: str, score: str, y: str, key: str,
         pred.withColumn("_step", step),
         [query],
         [F.col("_step"), F.col(key)],
-        [F.col("_step"), id_cell(key)],
+        [F.col("_step"), key],
         {"_rank": F.lit(1), "_hits": F.col(y)},
     )
     relevant = F.col(y) == 1
@@ -145,9 +146,13 @@ def mean_average_precision(pred: DataFrame, query: str, score: str, y: str, key:
 
 
 def best_run(runs: DataFrame, group: str) -> DataFrame:
-    """Best accuracy and latest start per experiment; ties to the lower run id."""
-    best = F.max_by(F.struct("run_id", "accuracy"), F.struct(F.col("accuracy"), -F.col("run_id")))
-    last = F.max_by("run_id", F.struct(F.col("start_time"), -F.col("run_id")))
+    """Best accuracy and latest start per experiment; ties to the lower run id, of any type.
+    Runs without the value that decides come last."""
+    start = F.col("start_time")
+    if not isinstance(runs.schema["start_time"].dataType, NumericType):
+        start = F.unix_micros(start.cast("timestamp"))
+    best = F.min_by(F.struct("run_id", "accuracy"), F.struct(F.col("accuracy").isNull(), -F.col("accuracy"), "run_id"))
+    last = F.min_by("run_id", F.struct(start.isNull(), -start, "run_id"))
     return runs.groupBy(group).agg(best.alias("_b"), last.alias("latest_run")).select(
         group, F.col("_b.run_id").alias("best_run"), F.col("_b.accuracy").alias("best_accuracy"), "latest_run"
     )

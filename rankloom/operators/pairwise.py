@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rankloom.functions.portable import hash32
-from rankloom.operators.spread import id_cell, lookup_join, rank_in_group, running_totals
+from rankloom.operators.spread import lookup_join, rank_in_group, running_totals
 
 FLOOR = 0.001
 TINY = 1e-10
@@ -14,7 +14,7 @@ TINY = 1e-10
 
 def positions(items: DataFrame, group: str, item: str) -> DataFrame:
     """Position 0..n-1 of every item in its group, and n."""
-    ranked = running_totals(items, [group], [F.col(item)], [id_cell(item)], {"_r": F.lit(1)}, {"n": "_r"})
+    ranked = running_totals(items, [group], [F.col(item)], [item], {"_r": F.lit(1)}, {"n": "_r"})
     return ranked.withColumn("pos", F.col("_r") - 1).drop("_r")
 
 
@@ -161,7 +161,7 @@ def ranked_strengths(strengths: DataFrame, group: str) -> DataFrame:
     rows = strengths.withColumn("score", s)
     micro = (-F.round(F.col("score") * 1000000)).cast("bigint")
     return rank_in_group(
-        rows, [group], [F.desc("score"), F.col("item")], [F.floor(-F.ln(F.col("score") + TINY) * 32).cast("bigint"), micro, id_cell("item")]
+        rows, [group], [F.desc("score"), F.col("item")], [F.floor(-F.ln(F.col("score") + TINY) * 32).cast("bigint"), micro, "item"]
     )
 
 
@@ -187,7 +187,7 @@ def within_budget(verdicts: DataFrame, group: str, error: str = "is_default", at
         flagged,
         [group],
         [F.col("left_id"), F.col("right_id")],
-        [id_cell("left_id"), F.col("left_id"), id_cell("right_id")],
+        ["left_id", F.col("left_id"), "right_id"],
         {"errors_so_far": F.col("_e"), "_one": F.lit(1)},
         {"_n": "_one"},
     )

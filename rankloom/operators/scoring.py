@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rankloom.functions import wordlists as W
 from rankloom.functions.portable import tenths_half_up
-from rankloom.operators.spread import id_cell, rank_in_group
+from rankloom.operators.spread import rank_in_group
 
 
 def overall_tenths(weights: dict[str, int] = W.OVERALL_WEIGHTS) -> Column:
@@ -46,7 +46,7 @@ def rank_resumes(scores: DataFrame, id_col: str = "resume_id", group: str = "job
         df,
         [group, "fit"],
         [F.desc("overall"), F.col(id_col)],
-        [score_cell(F.col("overall")), id_cell(id_col)],
+        [score_cell(F.col("overall")), id_col],
         "status",
     )
     return ranked.withColumn("status", F.when(F.col("fit"), F.col("status")).when(~F.col("fit"), F.lit(W.STATUS_UNFIT).cast("bigint")).otherwise(F.lit(W.STATUS_UPLOADED).cast("bigint"))).withColumn(
@@ -84,18 +84,18 @@ def corpus_of(df: DataFrame, key: str, columns: dict[str, str]) -> DataFrame:
 
 
 def category_codes(df: DataFrame, column: str, out: str) -> DataFrame:
-    """Position of every value in the sorted list of distinct values, from 0.
+    """Position of every value in the sorted list of distinct values, from 0; -1 for null.
 
-    Ranks run over distinct digests only; a value that many rows share is one
-    row by then. The first characters cut the sort into cells.
+    Ranks run over distinct values only; a value that many rows share is one row by
+    then. Sampled splitters cut the sort into cells.
     """
     from rankloom.operators.spread import lookup_join
 
-    distinct = df.select(column).distinct()
-    head = F.conv(F.hex(F.rpad(F.substring(F.col(column).cast("binary"), 1, 3), 3, b"\x00")), 16, 10).cast("bigint")
-    ranked = rank_in_group(distinct, [], [F.col(column)], [F.floor(head / 256).cast("bigint"), head], "_code")
+    named = df.filter(F.col(column).isNotNull())
+    ranked = rank_in_group(named.select(column).distinct(), [], [F.col(column)], [column], "_code")
     codes = ranked.select(column, (F.col("_code") - 1).alias(out))
-    return lookup_join(df, codes, [column])
+    unnamed = df.filter(F.col(column).isNull()).withColumn(out, F.lit(-1).cast("bigint"))
+    return lookup_join(named, codes, [column]).select(*df.columns, out).unionByName(unnamed)
 
 
 def dataset_metadata(rows: DataFrame, dim: int) -> DataFrame:

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType, StringType
 
 ID_CELL = 1 << 16
 BROADCAST_BYTES = 32 * 1024 * 1024
@@ -26,6 +27,45 @@ def id_cell(id_col: Column | str, width: int = ID_CELL) -> Column:
     return F.floor(c / F.lit(width)).cast("bigint")
 
 
+#: Splitters of a column that is no whole number, level by level, and rows they are taken from.
+SPLITTERS = 32
+SPLITTER_ROWS = 8192
+SPLITTER_CHARS = 64
+
+
+def order_cells(df: DataFrame, name: str) -> list[Column]:
+    """Cells of a column of any type that sorts, in its order, from coarse to fine.
+
+    Whole numbers are cut into ranges. Other values are cut at splitters, which are evenly
+    spaced among about ``SPLITTER_ROWS`` values drawn by hash; where the splitters lie
+    settles how even the cells are and never the order. A null has a null cell.
+    """
+    kind = df.schema[name].dataType
+    c = F.col(name)
+    if isinstance(kind, IntegralType):
+        return [id_cell(name)]
+    key = F.left(c, F.lit(SPLITTER_CHARS)) if isinstance(kind, StringType) else c
+    values = df.select(key.alias("v")).filter("v IS NOT NULL")
+    every = max(1, values.count() // SPLITTER_ROWS)
+    # A value that most rows share is drawn once.
+    drawn = values.filter(F.pmod(F.xxhash64("v"), F.lit(every)) == 0).distinct().limit(2 * SPLITTER_ROWS).collect()
+    found = sorted(r["v"] for r in drawn)
+    fine = [found[i * len(found) // SPLITTERS**2] for i in range(1, SPLITTERS**2)] if found else []
+    fine = sorted(set(fine))
+    if not fine:
+        return [F.when(c.isNotNull(), F.lit(0).cast("bigint"))]
+    coarse, rest = fine[SPLITTERS - 1 :: SPLITTERS], [fine[i : i + SPLITTERS - 1] for i in range(0, len(fine), SPLITTERS)]
+    rest += [[]] * (len(coarse) + 1 - len(rest))
+
+    def below(splitters: Column) -> Column:
+        return F.size(F.filter(splitters, lambda s: s <= c)).cast("bigint")
+
+    typed = lambda v: F.array(*[F.lit(x) for x in v]).cast(f"array<{kind.simpleString()}>")
+    first = below(typed(coarse))
+    second = below(F.get(F.array(*[typed(r) for r in rest]), first.cast("int")))
+    return [F.when(c.isNotNull(), first), F.when(c.isNotNull(), second)]
+
+
 def join_with_nulls(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """Inner join on ``keys`` in which null equals null."""
     renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
@@ -37,7 +77,7 @@ def running_totals(
     df: DataFrame,
     group: list[str],
     order: list[Column],
-    cells: list[Column],
+    cells: list[Column | str],
     totals: dict[str, Column],
     group_totals: dict[str, str] | None = None,
 ) -> DataFrame:
@@ -47,12 +87,14 @@ def running_totals(
     group into ordered pieces: sorting by the cells must agree with ``order``.
     Only the piece is sorted; what lies before it comes from summing one row
     per cell, level by level. A null group is a group, a null cell comes last in its
-    group. ``group_totals`` maps an output name to the name of a total whose sum over the
+    group. A cell given as a column's name stands for the :func:`order_cells` of that
+    column. ``group_totals`` maps an output name to the name of a total whose sum over the
     whole group is wanted too.
 
     Totals of ``lit(1)`` are ranks.
     """
     group_totals = group_totals or {}
+    cells = [c for given in cells for c in (order_cells(df, given) if isinstance(given, str) else [given])]
     cell_names = [f"_cell{i}" for i in range(len(cells))]
     keyed = df
     for name, c in zip(cell_names, cells):
@@ -94,7 +136,7 @@ def running_totals(
     )
 
 
-def rank_in_group(df: DataFrame, group: list[str], order: list[Column], cells: list[Column], name: str = "rank") -> DataFrame:
+def rank_in_group(df: DataFrame, group: list[str], order: list[Column], cells: list[Column | str], name: str = "rank") -> DataFrame:
     """Exact ``row_number`` without a whole group in one task."""
     return running_totals(df, group, order, cells, {name: F.lit(1)})
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from rankloom.functions import text as T
 from rankloom.operators import labels as L
 from rankloom.operators import scoring as S
-from rankloom.operators.spread import id_cell, keep_first, lookup_join, rank_in_group, running_totals, top_k
+from rankloom.operators.spread import keep_first, lookup_join, rank_in_group, running_totals, top_k
 from rankloom.plans import fixtures as X
 from rankloom.plans.registry import query
 
@@ -345,7 +345,16 @@ def k6(spark, d):
 )
 def w1(spark, d):
     rows = S.overall(X.scores(spark, d)).select("resume_id", "job_id", "overall")
-    return rank_in_group(rows, ["job_id"], [F.desc("overall"), F.col("resume_id")], [S.score_cell(F.col("overall")), id_cell("resume_id")]).drop("overall")
+    return rank_in_group(rows, ["job_id"], [F.desc("overall"), F.col("resume_id")], [S.score_cell(F.col("overall")), "resume_id"]).drop("overall")
+
+
+@query(
+    "w1_rank_text_ids",
+    "SELECT resume_id, job_id, row_number() OVER (PARTITION BY job_id ORDER BY overall DESC, resume_id) AS rank FROM (SELECT 'r-' || resume_id AS resume_id, job_id, overall FROM v_ranked)",
+)
+def w1_text(spark, d):
+    rows = S.overall(X.scores(spark, d)).select(F.concat(F.lit("r-"), F.col("resume_id").cast("string")).alias("resume_id"), "job_id", "overall")
+    return rank_in_group(rows, ["job_id"], [F.desc("overall"), F.col("resume_id")], [S.score_cell(F.col("overall")), "resume_id"]).drop("overall")
 
 
 @query(
@@ -364,7 +373,7 @@ def w2(spark, d):
 def w3(spark, d):
     rows = X.predictions(spark, d)
     return running_totals(
-        rows, ["qid"], [F.desc("score"), F.col("doc_id")], [S.score_cell(F.col("score"), 100), id_cell("doc_id")], {"hits": F.col("y")}
+        rows, ["qid"], [F.desc("score"), F.col("doc_id")], [S.score_cell(F.col("score"), 100), "doc_id"], {"hits": F.col("y")}
     ).select("doc_id", "qid", "hits")
 
 
