@@ -11,14 +11,61 @@ from rankloom.functions.text import month_of
 
 RECORD = "map<string, string>"
 LISTS = ["workexp", "awards", "certificates", "publications", "personal_projects"]
-# Required fields per list: (camel case, snake case, may be null).
-REQUIRED = {
-    "workexp": [("companyName", "company_name", False), ("position", "position", False)],
-    "awards": [("title", "title", False), ("dateReceived", "date_received", True)],
-    "certificates": [("certificateName", "certificate_name", False), ("dateIssued", "date_issued", True), ("issuer", "issuer", False)],
-    "publications": [("publicationName", "publication_name", False)],
-    "personal_projects": [("projectName", "project_name", False)],
-}
+#: Fields of a structured resume in the order they are checked, as (camel case,
+#: snake case, kind, required, may be null). A kind is "text", ("list", kind) or
+#: ("record", name, fields).
+_TEXTS = ("list", "text")
+_LOCATION = ("record", "Location", [("address", "address", "text", False, True), ("postalCode", "postal_code", "text", False, True), ("city", "city", "text", False, True), ("countryCode", "country_code", "text", False, True)])
+_LANGUAGE = ("record", "Language", [("language", "language", "text", True, False), ("fluency", "fluency", "text", False, True)])
+_BASICS = [(n, n, "text", False, True) for n in ("name", "email", "phone", "website", "summary")]
+_BASICS += [("location", "location", _LOCATION, False, True)]
+_BASICS += [(n, n, "text", False, True) for n in ("twitter", "github", "linkedin")]
+_BASICS += [("languages", "languages", ("list", _LANGUAGE), False, True)]
+_WORK = [
+    ("companyName", "company_name", "text", True, False),
+    ("position", "position", "text", True, False),
+    ("startDate", "start_date", "text", False, True),
+    ("endDate", "end_date", "text", False, True),
+    ("summary", "summary", _TEXTS, False, True),
+    ("skills", "skills", _TEXTS, False, True),
+]
+_AWARD = [
+    ("title", "title", "text", True, False),
+    ("dateReceived", "date_received", "text", True, True),
+    ("awarder", "awarder", "text", False, True),
+    ("summary", "summary", "text", False, True),
+]
+_CERTIFICATE = [
+    ("certificateName", "certificate_name", "text", True, False),
+    ("dateIssued", "date_issued", "text", True, True),
+    ("issuer", "issuer", "text", True, False),
+    ("certificateUrl", "certificate_url", "text", False, True),
+]
+_PUBLICATION = [
+    ("publicationName", "publication_name", "text", True, False),
+    ("publisherName", "publisher_name", "text", False, True),
+    ("releaseDate", "release_date", "text", False, True),
+    ("publicationUrl", "publication_url", "text", False, True),
+    ("summary", "summary", "text", False, True),
+]
+_PROJECT = [
+    ("projectName", "project_name", "text", True, False),
+    ("startDate", "start_date", "text", False, True),
+    ("endDate", "end_date", "text", False, True),
+    ("highlights", "highlights", _TEXTS, False, True),
+    ("projectUrl", "project_url", "text", False, True),
+    ("keywords", "keywords", _TEXTS, False, True),
+]
+RESUME_FIELDS = [
+    ("basics", "basics", ("record", "BasicInformation", _BASICS), True, False),
+    ("workexp", "workexp", ("list", ("record", "WorkExperience", _WORK)), False, True),
+    ("education", "education", _TEXTS, False, True),
+    ("awards", "awards", ("list", ("record", "Award", _AWARD)), False, True),
+    ("certificates", "certificates", ("list", ("record", "Certificate", _CERTIFICATE)), False, True),
+    ("publications", "publications", ("list", ("record", "Publication", _PUBLICATION)), False, True),
+    ("skills", "skills", _TEXTS, False, True),
+    ("personal_projects", "personal_projects", ("list", ("record", "Project", _PROJECT)), False, True),
+]
 RESUME_SCHEMA = f"struct<basics: {RECORD}, education: array<string>, skills: array<string>, " + ", ".join(f"{n}: array<{RECORD}>" for n in LISTS) + ">"
 
 
@@ -53,44 +100,67 @@ def score_or(text: Column, default: float = 50.0) -> Column:
     return F.coalesce(text.try_cast("double"), F.lit(default))
 
 
-def _missing(record: Column, camel: str, snake: str) -> Column:
-    return ~F.map_contains_key(record, camel) & ~F.map_contains_key(record, snake)
+# The rules are one SQL expression: as text it is put together much faster than column by column.
+_NONE = "cast(array() AS array<string>)"
 
 
-def _message(path: Column, msg: str, value: str) -> Column:
-    return F.concat(path, F.lit(f": {msg} (value: '{value}')"))
+def _message(path: str, msg: str, value: str) -> str:
+    return f"array(concat({path}, ': {msg} (value: \\'', {value}, '\\')'))"
 
 
-def _record_check(name: str, fields: list[tuple[str, str, bool]]):
-    def check(record: Column, i: Column) -> Column:
-        found = []
-        for camel, snake, nullable in fields:
-            path = F.concat(F.lit(f"{name}."), i.cast("string"), F.lit(f".{camel}"))
-            rule = F.when(_missing(record, camel, snake), _message(path, "Field required", "N/A"))
-            if not nullable:
-                value = F.coalesce(F.try_element_at(record, F.lit(camel)), F.try_element_at(record, F.lit(snake)))
-                rule = rule.when(value.isNull(), _message(path, "Input should be a valid string", "None"))
-            found.append(rule)
-        return F.filter(F.array(*found), lambda m: m.isNotNull())
+def _kind_of(value: str) -> str:
+    """STRING, ARRAY, OBJECT, VOID, … of a variant."""
+    return f"regexp_extract(schema_of_variant({value}), '^[A-Z]+', 0)"
 
-    return check
 
+def _shown(value: str) -> str:
+    """Text of a value in a message; lists and records are shown as JSON."""
+    text = f"try_variant_get({value}, '$', 'string')"
+    return f"CASE {_kind_of(value)} WHEN 'VOID' THEN 'None' WHEN 'STRING' THEN {text} WHEN 'BOOLEAN' THEN initcap({text}) ELSE to_json({value}) END"
 
-def validation_errors(parsed: Column) -> Column:
-    """Messages ``path.index.field: text (value: '…')`` for every broken rule."""
-    groups = [F.when(parsed["basics"].isNull(), F.array(F.lit("basics: Field required (value: 'N/A')"))).otherwise(F.array().cast("array<string>"))]
-    for name, fields in REQUIRED.items():
-        per_list = F.flatten(F.transform(parsed[name], _record_check(name, fields)))
-        groups.append(F.coalesce(per_list, F.array().cast("array<string>")))
-    return F.concat(*groups)
+
+def _problems(value: str, path: str, kind, nullable: bool, shown: str, depth: int) -> str:
+    """Messages for a value that is there, of this kind, and for all below it."""
+    if kind == "text":
+        wanted, msg, below = "STRING", "Input should be a valid string", _NONE
+    elif kind[0] == "list":
+        e, i = f"e{depth}", f"i{depth}"
+        each = _problems(e, f"concat({path}, '.', cast({i} AS string))", kind[1], False, _shown(e), depth + 1)
+        wanted, msg, below = "ARRAY", "Input should be a valid list", f"flatten(transform(try_variant_get({value}, '$', 'array<variant>'), ({e}, {i}) -> {each}))"
+    else:
+        wanted, msg, below = "OBJECT", f"Input should be a valid dictionary or instance of {kind[1]}", _field_problems(value, path, kind[2], depth)
+    null = f"WHEN 'VOID' THEN {_NONE} " if nullable else ""
+    return f"CASE {_kind_of(value)} WHEN '{wanted}' THEN {below} {null}ELSE {_message(path, msg, shown)} END"
+
+
+def _field_problems(record: str, path: str | None, fields: list, depth: int) -> str:
+    found = []
+    for camel, snake, kind, required, nullable in fields:
+        own = f"try_variant_get({record}, '$.{camel}', 'variant')"
+        value = own if camel == snake else f"coalesce({own}, try_variant_get({record}, '$.{snake}', 'variant'))"
+        at = f"'{camel}'" if path is None else f"concat({path}, '.{camel}')"
+        missing = _message(at, "Field required", "'N/A'") if required else _NONE
+        # A field is taken once, as the one element of a list. The report looks a value up
+        # under its camel case name only.
+        f, o = f"f{depth}", f"struct({value} AS v, {own} AS o)"
+        shown = f"CASE WHEN {f}.o IS NULL THEN 'N/A' ELSE {_shown(f + '.o')} END"
+        below = _problems(f"{f}.v", at, kind, nullable, shown, depth + 1)
+        found.append(f"flatten(transform(array({o}), {f} -> CASE WHEN {f}.v IS NULL THEN {missing} ELSE {below} END))")
+    return f"concat({', '.join(found)})"
+
+
+def validation_errors(record: str) -> Column:
+    """Messages ``path.index.field: text (value: '…')`` for every broken rule of a structured
+    resume, a column of variants: missing fields, nulls, and values of a wrong type at any path."""
+    return F.expr(_field_problems(record, None, RESUME_FIELDS, 0))
 
 
 def validate(df: DataFrame, raw: str) -> DataFrame:
     """Parse structured resumes and list what is wrong with each; rows with errors
     are the quarantine, to be run again after a repair."""
-    parsed = df.withColumn("parsed", F.from_json(raw, RESUME_SCHEMA))
-    errors = F.when(~is_json(F.col(raw)), F.array(F.lit("Invalid JSON"))).otherwise(validation_errors(F.col("parsed")))
-    return parsed.withColumn("errors", errors).withColumn("valid", F.size("errors") == 0)
+    parsed = df.withColumns({"parsed": F.from_json(raw, RESUME_SCHEMA), "_typed": F.when(is_json(F.col(raw)), F.try_parse_json(raw))})
+    errors = F.when(F.col("_typed").isNull(), F.array(F.lit("Invalid JSON"))).otherwise(validation_errors("_typed"))
+    return parsed.withColumn("errors", errors).withColumn("valid", F.size("errors") == 0).drop("_typed")
 
 
 def retry_quarantine(df: DataFrame, raw: str, repair) -> DataFrame:

@@ -557,7 +557,13 @@ def resume_json(spark, d):
     basics = F.when(e % 5 == 0, "").otherwise('"basics": {"name": "x"}, ')
     work = F.when(e % 3 == 0, '{"position": "p"}').when(e % 3 == 1, '{"company_name": "c", "position": null}').otherwise('{"companyName": "c", "position": "p"}')
     cert = F.when(e % 4 == 0, '{"certificateName": "c", "dateIssued": null, "issuer": "i"}').otherwise('{"certificateName": "c", "issuer": "i"}')
-    whole = F.concat(F.lit("{"), basics, F.lit('"workexp": [{"companyName": "a", "position": "b"}, '), work, F.lit('], "certificates": ['), cert, F.lit("]}"))
+    typed = (
+        F.when(e % 7 == 0, ', "skills": "sql"')
+        .when(e % 7 == 1, ', "education": ["x", 5]')
+        .when(e % 7 == 2, ', "awards": [7, {"title": true, "dateReceived": null}]')
+        .otherwise(', "skills": ["sql"], "education": null')
+    )
+    whole = F.concat(F.lit("{"), basics, F.lit('"workexp": [{"companyName": "a", "position": "b"}, '), work, F.lit('], "certificates": ['), cert, F.lit("]"), typed, F.lit("}"))
     return X.table(spark, d, "events").select("event_id", F.when(e % 11 == 0, F.concat(F.lit('{"basics": '), i)).otherwise(whole).alias("raw"))
 
 
@@ -565,7 +571,11 @@ SQL_ERRORS = """errs AS (SELECT event_id, CASE WHEN event_id % 11 = 0 THEN ['Inv
     CASE WHEN event_id % 5 = 0 THEN 'basics: Field required (value: ''N/A'')' END,
     CASE WHEN event_id % 3 = 0 THEN 'workexp.1.companyName: Field required (value: ''N/A'')' END,
     CASE WHEN event_id % 3 = 1 THEN 'workexp.1.position: Input should be a valid string (value: ''None'')' END,
-    CASE WHEN event_id % 4 <> 0 THEN 'certificates.0.dateIssued: Field required (value: ''N/A'')' END], lambda m: m IS NOT NULL) END AS errors FROM events)"""
+    CASE WHEN event_id % 7 = 1 THEN 'education.1: Input should be a valid string (value: ''5'')' END,
+    CASE WHEN event_id % 7 = 2 THEN 'awards.0: Input should be a valid dictionary or instance of Award (value: ''7'')' END,
+    CASE WHEN event_id % 7 = 2 THEN 'awards.1.title: Input should be a valid string (value: ''True'')' END,
+    CASE WHEN event_id % 4 <> 0 THEN 'certificates.0.dateIssued: Field required (value: ''N/A'')' END,
+    CASE WHEN event_id % 7 = 0 THEN 'skills: Input should be a valid list (value: ''sql'')' END], lambda m: m IS NOT NULL) END AS errors FROM events)"""
 
 
 @query("f3_validate_quarantine", f"WITH {SQL_ERRORS} SELECT event_id, length(errors) = 0 AS valid, length(errors) AS n_errors FROM errs")
