@@ -94,6 +94,17 @@ def _passes(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
     return (bits[h >> np.uint64(6)] >> (h & np.uint64(63))) & np.uint64(1) == 1
 
 
+class _Numbers(dict):
+    """Numbers words in the order in which they are first asked for; the full stop has 0."""
+
+    def __init__(self):
+        super().__init__({b".": 0})
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self)
+        return number
+
+
 class _Block:
     """Words of texts of one language, until they are counted."""
 
@@ -142,7 +153,7 @@ def _counter(size: int, bits):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filter_bits = bits.value if bits is not None else None
-        known: dict[bytes, int] = {b".": 0}
+        known = _Numbers()
         blocks: dict[str, _Block] = {}
         held = 0
         for batch in batches:
@@ -150,16 +161,16 @@ def _counter(size: int, bits):
                 blocks.setdefault(lang, _Block()).add(np.zeros(1, np.int32))
                 for part in slices(text):
                     found = words_of(part)
-                    blocks[lang].add(np.fromiter((known.setdefault(w, len(known)) for w in found), np.int32, len(found)))
+                    blocks[lang].add(np.fromiter(map(known.__getitem__, found), np.int32, len(found)))
                     held += len(found) + 1
                     if held >= BLOCK_WORDS or len(known) >= BLOCK_VOCABULARY:
                         vocabulary = list(known)
                         tail = np.concatenate(blocks[lang].ids)[-(size - 1) :] if size > 1 else np.zeros(0, np.int32)
                         for name, block in blocks.items():
                             yield from counted(name, block, vocabulary, filter_bits)
-                        known, blocks, held = {b".": 0}, {}, 0
+                        known, blocks, held = _Numbers(), {}, 0
                         # The text may go on: its last words stay, under new numbers.
-                        kept = [known.setdefault(vocabulary[i], len(known)) for i in tail]
+                        kept = [known[vocabulary[i]] for i in tail]
                         blocks.setdefault(lang, _Block()).add(np.array(kept, np.int32))
         for name, block in blocks.items():
             yield from counted(name, block, list(known), filter_bits)
