@@ -21,6 +21,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import posixpath
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -150,13 +151,17 @@ def headers_of(head: bytes) -> dict[str, str]:
     return {k.strip().lower(): v.strip() for k, _, v in fields}
 
 
+#: Endings that a normalised archive's name is freed from; other dots belong to the name.
+ENDINGS = r"(\.warc|\.txt)?\.gz$"
+
+
 def _normalise(out: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for uri in batch.column(0).to_pylist():
                 fs, path = _open(uri)
                 to, folder = _open(out)
-                name = posixpath.basename(path).split(".")[0] + ".warc.gz"
+                name = re.sub(ENDINGS, "", posixpath.basename(path)) + ".warc.gz"
                 draft = f"{folder}/.{name}.{uuid.uuid4().hex}"
                 offset, ids, offsets, lengths = 0, [], [], []
                 with fs.open_input_stream(path, compression=None) as stream, to.open_output_stream(draft, compression=None) as sink:
@@ -183,10 +188,18 @@ def files_in(spark: SparkSession, path: str, pattern: str) -> DataFrame:
 
 
 def normalise(spark: SparkSession, path: str, out: str) -> DataFrame:
-    """Rewrite the archives of ``path`` into ``out``; returns the offset index as a written table."""
+    """Rewrite the archives of ``path`` into ``out``; returns the offset index as a written table.
+
+    Two archives that would get one name are refused before any is written.
+    """
+    files = files_in(spark, path, "*.gz")
+    names = files.select(F.regexp_replace(F.element_at(F.split("path", "/"), -1), ENDINGS, "").alias("name"))
+    clash = names.groupBy("name").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").first()
+    if clash is not None:
+        raise ValueError(f"{clash['n']} archives would be named {clash['name']}.warc.gz")
     to, folder = _open(out)
     to.create_dir(folder, recursive=True)
-    return cut_lineage(files_in(spark, path, "*.gz").mapInArrow(_normalise(out), "archive string, offset bigint, length bigint, record_id string"))
+    return cut_lineage(files.mapInArrow(_normalise(out), "archive string, offset bigint, length bigint, record_id string"))
 
 
 def _read(id_cast: str, with_payload: bool):

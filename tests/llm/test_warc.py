@@ -82,3 +82,16 @@ def test_broken_archives_are_refused():
     for cut in (record[:-7], record + b"WARC/1.1\r\nCon"):
         with pytest.raises(ValueError):
             list(W.split_records([cut]))
+
+
+def test_names_with_dots_stay_apart(spark, tmp_path):
+    record = b"WARC/1.0\r\nWARC-Type: metadata\r\nWARC-Record-ID: <urn:%d>\r\nContent-Length: 2\r\n\r\nab\r\n\r\n"
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for i in (1, 2):
+        (folder / f"crawl.0{i}.warc.gz").write_bytes(gzip.compress(record % i))
+    index = W.normalise(spark, str(folder), str(tmp_path / "out")).collect()
+    assert sorted((r["archive"], r["record_id"]) for r in index) == [("crawl.01.warc.gz", "<urn:1>"), ("crawl.02.warc.gz", "<urn:2>")]
+    (folder / "crawl.01.gz").write_bytes(gzip.compress(record % 3))
+    with pytest.raises(ValueError, match="crawl.01.warc.gz"):
+        W.normalise(spark, str(folder), str(tmp_path / "again"))
