@@ -130,8 +130,9 @@ def a14(spark, d):
 def l12(spark, d):
     root = scratch_path(spark, "versions")
     rows = X.table(spark, d, "labels").select("doc_id", "quality")
-    for stamp in ("20240101_000000", "20240102_000000"):
-        K.reset_table(rows, f"{root}/run={stamp}")
+    older = rows.withColumn("quality", 1 - F.col("quality"))
+    for stamp, version in (("20240101_000000", older), ("20240102_000000", rows)):
+        K.reset_table(version.withColumn("quality", F.col("quality").cast(rows.schema["quality"].dataType)), f"{root}/run={stamp}")
     newest = spark.read.parquet(root).select(F.max("run").alias("run"))
     return spark.read.parquet(root).join(F.broadcast(newest), "run").drop("run")
 
@@ -159,6 +160,12 @@ def m2(spark, d):
     return drained(spark, A.first_arrivals(A.finalized(messages(spark, d))))
 
 
+@query("m2_first_arrivals_expiring", "SELECT DISTINCT split_part(object_id, '/', 2) AS dir FROM v_arrivals WHERE event_type = 'OBJECT_FINALIZE'")
+def m2_expiring(spark, d):
+    # Longer than the table's span of time, so that no state expires early.
+    return drained(spark, A.first_arrivals_within(A.finalized(messages(spark, d)), "3650 days").select("dir"))
+
+
 @query(
     "m3_block_list",
     "SELECT event_id, split_part(object_id, '/', 2) AS dir FROM v_arrivals WHERE event_type = 'OBJECT_FINALIZE' AND split_part(object_id, '/', 2) NOT IN (SELECT user_id::VARCHAR FROM events WHERE value > 200)",
@@ -205,7 +212,7 @@ def m6(spark, d):
         return S.rank_resumes(X.scores(spark, d).join(touched, "job_id", "left_semi")).select("resume_id", "job_id", "status")
 
     A.publish_new(messages(spark, d), P.rank_on_arrival(score, out, X.N_JOBS), check)
-    return spark.read.parquet(out).select("resume_id", "job_id", "status")
+    return A.newest_versions(spark, out, "job_id").select("resume_id", "job_id", "status")
 
 
 # ---- end-to-end flows --------------------------------------------------------------------

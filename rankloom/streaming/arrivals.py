@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 EVENTS_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 FINALIZE = "OBJECT_FINALIZE"
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 # Names that sit next to the directories but are not directories.
 BLOCKED = ("seen_directories.txt",)
 
@@ -48,17 +50,32 @@ def decoded(messages: DataFrame, data: str = "data") -> DataFrame:
     return messages.withColumn("text", text).withColumn("k", F.from_json(text, "k bigint")["k"])
 
 
+@contextmanager
+def disk_state(spark: SparkSession) -> Iterator[None]:
+    """Streams started inside keep their state on disk (RocksDB), so that a set of keys
+    without a bound does not have to fit in the executors' heap. A stream that has a
+    checkpoint keeps the store it began with."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    spark.conf.set(name, STATE_STORE)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def drain_to(stream: DataFrame, path: str, checkpoint: str) -> None:
     """Run a stream over everything that is there and append it to Parquet files."""
-    q = (
-        stream.writeStream.format("parquet")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-    )
-    q.awaitTermination()
+    with disk_state(stream.sparkSession):
+        q = (
+            stream.writeStream.format("parquet")
+            .option("path", path)
+            .option("checkpointLocation", checkpoint)
+            .outputMode("append")
+            .trigger(availableNow=True)
+            .start()
+        )
+        q.awaitTermination()
 
 
 def publish_new(stream: DataFrame, publish: Callable[[DataFrame, int], None], checkpoint: str) -> None:
@@ -87,3 +104,18 @@ def seen_table_publisher(root: str) -> Callable[[DataFrame, int], None]:
         fresh.write.mode("overwrite").parquet(f"{root}/batch={batch_id}")
 
     return publish
+
+
+def newest_versions(spark: SparkSession, root: str, key: str) -> DataFrame:
+    """Rows of the newest batch that published each key, from a folder with one ``batch=``
+    folder per micro-batch. What earlier batches published for the key is superseded."""
+    from rankloom.operators.spread import lookup_join
+
+    rows = spark.read.parquet(root)
+    newest = rows.groupBy(key).agg(F.max("batch").alias("_newest"))
+    return lookup_join(rows, newest, [key]).filter(F.col("batch") == F.col("_newest")).drop("_newest", "batch")
+
+
+def compact(spark: SparkSession, root: str, key: str, out: str) -> None:
+    """Write the newest versions as one table without superseded rows."""
+    newest_versions(spark, root, key).write.mode("overwrite").parquet(out)
