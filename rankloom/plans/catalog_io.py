@@ -203,7 +203,7 @@ def m5(spark, d):
 @query(
     "m6_rank_on_arrival",
     """SELECT resume_id, job_id, status::BIGINT AS status FROM v_ranked WHERE job_id IN
-    (SELECT split_part(object_id, '/', 2)::BIGINT % 40 FROM v_arrivals WHERE event_type = 'OBJECT_FINALIZE')""",
+    (SELECT split_part(object_id, '/', 2)::BIGINT % (SELECT n_jobs FROM v_size) FROM v_arrivals WHERE event_type = 'OBJECT_FINALIZE')""",
 )
 def m6(spark, d):
     out, check = scratch_path(spark, "ranked"), scratch_path(spark, "check")
@@ -211,7 +211,7 @@ def m6(spark, d):
     def score(touched):
         return S.rank_resumes(X.scores(spark, d).join(touched, "job_id", "left_semi")).select("resume_id", "job_id", "status")
 
-    A.publish_new(messages(spark, d), P.rank_on_arrival(score, out, X.N_JOBS), check)
+    A.publish_new(messages(spark, d), P.rank_on_arrival(score, out, X.n_jobs(spark, d)), check)
     return A.newest_versions(spark, out, "job_id").select("resume_id", "job_id", "status")
 
 

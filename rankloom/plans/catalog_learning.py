@@ -60,7 +60,7 @@ def d5_distance(spark, d):
 
 @query("d2_approximate_search")
 def d2(spark, d):
-    return N.approximate_matches(X.sections(spark, d), X.job_vectors(spark, d))
+    return N.approximate_matches(X.applied(spark, d), X.job_vectors(spark, d))
 
 
 @query(

@@ -51,12 +51,12 @@ def g5(spark, d):
 MATCHES = """matches AS (SELECT * FROM (SELECT job_id, section, candidate_id, similarity,
       row_number() OVER (PARTITION BY job_id, section ORDER BY similarity DESC, candidate_id) AS rank
       FROM (SELECT s.job_id, s.section, s.candidate_id, round(list_cosine_similarity(s.embedding::DOUBLE[], j.job_embedding::DOUBLE[]), 6) AS similarity
-        FROM v_sections s JOIN v_job_vectors j ON s.job_id = j.job_id)) WHERE rank <= 100),
+        FROM v_applied s JOIN v_job_vectors j ON s.job_id = j.job_id)) WHERE rank <= 100),
     points AS (SELECT *, count(*) OVER (PARTITION BY job_id, section) - rank + 1 AS points FROM matches)"""
 
 
 def matches(spark, d):
-    return M.section_matches(X.sections(spark, d), X.job_vectors(spark, d))
+    return M.section_matches(X.applied(spark, d), X.job_vectors(spark, d))
 
 
 def points(spark, d):
@@ -73,7 +73,7 @@ def d1(spark, d):
     f"WITH {MATCHES} SELECT job_id, section, candidate_id, rank FROM matches WHERE rank <= 5",
 )
 def c9(spark, d):
-    return M.section_matches(X.sections(spark, d), X.job_vectors(spark, d), k=5).drop("similarity")
+    return M.section_matches(X.applied(spark, d), X.job_vectors(spark, d), k=5).drop("similarity")
 
 
 @query(

@@ -323,9 +323,9 @@ def k4(spark, d):
     return S.corpus_of(X.pairs(spark, d), "pair_id", {"resume": "resume_text", "job": "job_description_text"})
 
 
-@query("k5_candidate_union", "SELECT DISTINCT job_id, candidate_id FROM v_sections")
+@query("k5_candidate_union", "SELECT DISTINCT job_id, candidate_id FROM v_applied")
 def k5(spark, d):
-    return X.sections(spark, d).select("job_id", "candidate_id").distinct()
+    return X.applied(spark, d).select("job_id", "candidate_id").distinct()
 
 
 @query(
@@ -385,9 +385,9 @@ def w4(spark, d):
     return S.category_codes(X.pairs(spark, d).select("pair_id", "job_description_text"), "job_description_text", "qid").select("pair_id", "qid")
 
 
-@query("w5_list_length", "SELECT job_id, section, count(*) AS n FROM v_sections GROUP BY job_id, section")
+@query("w5_list_length", "SELECT job_id, section, count(*) AS n FROM v_applied GROUP BY job_id, section")
 def w5(spark, d):
-    return X.sections(spark, d).groupBy("job_id", "section").agg(F.count("*").alias("n"))
+    return X.applied(spark, d).groupBy("job_id", "section").agg(F.count("*").alias("n"))
 
 
 @query("w6_keep_first", "SELECT resume_id, event_id FROM (SELECT *, row_number() OVER (PARTITION BY resume_id ORDER BY ts, event_id) AS rn FROM v_feedback) WHERE rn = 1")

@@ -10,14 +10,18 @@ from pyspark.sql import functions as F
 
 from rankloom.functions.portable import hash32
 
-N_JOBS = 40  # documents are spread over this many postings
-N_VECTOR_JOBS = 5
+#: Postings a candidate applies to: the first POPULAR ones get everybody, the others an even share.
+APPLICATIONS = 8
+POPULAR = 2
 
 SECTIONS = ["education", "workexp", "personal_projects", "misc"]
 
+N_JOBS_SQL = "(SELECT n_jobs FROM v_size)"
+
 VIEW_SQL = {
+    "v_size": "SELECT greatest(count(*), 1) AS n_jobs FROM benchmark",
     "v_jobs": "SELECT item_id AS job_id, text AS job_text, item_id % 7 AS user_id FROM benchmark",
-    "v_resumes": "SELECT doc_id AS resume_id, doc_id % 40 AS job_id, text AS resume_text, "
+    "v_resumes": f"SELECT doc_id AS resume_id, doc_id % {N_JOBS_SQL} AS job_id, text AS resume_text, "
     "source || '_' || doc_id || '.pdf' AS filename, n_chars FROM documents",
     "v_pairs": "SELECT r.resume_id AS pair_id, r.job_id, r.resume_text, j.job_text AS job_description_text, "
     "CASE WHEN l.toxic = 1 THEN 'Potential Fit' WHEN l.quality = 1 THEN 'Good Fit' ELSE 'No Fit' END AS label "
@@ -27,9 +31,12 @@ VIEW_SQL = {
     "v_mixed_labels": "SELECT event_id, CASE event_id % 9 WHEN 0 THEN '1' WHEN 1 THEN '-1' WHEN 2 THEN '0' "
     "WHEN 3 THEN 'Good Fit' WHEN 4 THEN 'neutral' WHEN 5 THEN 'x' WHEN 6 THEN NULL WHEN 7 THEN 'No Fit' "
     "ELSE 'Potential Fit' END AS label FROM events",
-    "v_sections": "SELECT vec_id, vec_id // 4 AS candidate_id, (vec_id // 4) % 5 AS job_id, CASE vec_id % 4 "
+    "v_sections": f"SELECT vec_id, vec_id // 4 AS candidate_id, (vec_id // 4) % {N_JOBS_SQL} AS job_id, CASE vec_id % 4 "
     "WHEN 0 THEN 'education' WHEN 1 THEN 'workexp' WHEN 2 THEN 'personal_projects' ELSE 'misc' END AS section, "
     "embedding, label FROM embeddings",
+    "v_applied": "SELECT vec_id, candidate_id, section, embedding, label, unnest(list_distinct(list_concat("
+    f"list_transform(range({POPULAR}), lambda a: a % n_jobs), list_transform(range({APPLICATIONS - POPULAR}), "
+    f"lambda a: (candidate_id + a * greatest(n_jobs // {APPLICATIONS - POPULAR}, 1)) % n_jobs)))) AS job_id FROM v_sections, v_size",
     "v_job_vectors": "SELECT vec_id AS job_id, embedding AS job_embedding FROM embeddings",
     "v_scores": "SELECT resume_id, job_id, (37 * resume_id + 11) % 101 AS skills, (53 * resume_id + 7) % 101 AS experience, "
     "(71 * resume_id + 3) % 101 AS education, (29 * resume_id + 19) % 101 AS projects, resume_id % 9 AS missing FROM v_resumes",
@@ -40,12 +47,11 @@ VIEW_SQL = {
     "v_arrivals": "SELECT event_id, ts, CASE WHEN event_type = 'signup' THEN 'OBJECT_FINALIZE' ELSE upper(event_type) END "
     "AS event_type, 'resumes/' || user_id || '/' || event_id || '_cv.pdf' AS object_id FROM events",
     "v_runs": "SELECT event_id AS run_id, event_type AS experiment, value / 500 AS accuracy, ts AS start_time FROM events",
-    "v_pred": "SELECT doc_id, doc_id % 40 AS qid, quality AS y, score, CASE WHEN score >= 0.5 THEN 1 ELSE 0 END AS yhat "
+    "v_pred": f"SELECT doc_id, doc_id % {N_JOBS_SQL} AS qid, quality AS y, score, CASE WHEN score >= 0.5 THEN 1 ELSE 0 END AS yhat "
     "FROM (SELECT doc_id, quality, (('0x' || substr(md5('score:' || doc_id), 1, 8))::BIGINT % 101) / 100.0::DOUBLE AS score FROM labels)",
     "v_lexicon": "SELECT token, CASE ('0x' || substr(md5('kind:' || token), 1, 8))::BIGINT % 3 WHEN 0 THEN 'ORG' "
-    "WHEN 1 THEN 'GPE' ELSE 'NORP' END AS kind FROM (SELECT token, count(*) AS n FROM (SELECT "
-    "unnest(regexp_extract_all(lower(job_text), '[a-z0-9_]{2,}')) AS token FROM v_jobs) WHERE length(token) >= 3 "
-    "GROUP BY token ORDER BY n DESC, token LIMIT 200)",
+    "WHEN 1 THEN 'GPE' ELSE 'NORP' END AS kind FROM (SELECT DISTINCT token FROM (SELECT "
+    "unnest(regexp_extract_all(lower(job_text), '[a-z0-9_]{2,}')) AS token FROM v_jobs) WHERE length(token) >= 3)",
 }
 
 
@@ -53,6 +59,11 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+def n_jobs(spark: SparkSession, d: str) -> int:
+    """Number of postings, which resumes and candidates are dealt to; read from file footers."""
+    return max(1, table(spark, d, "benchmark").count())
+
+
 def jobs(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "benchmark").select(
         F.col("item_id").alias("job_id"), F.col("text").alias("job_text"), (F.col("item_id") % 7).alias("user_id")
@@ -62,7 +73,7 @@ def jobs(spark: SparkSession, d: str) -> DataFrame:
 def resumes(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select(
         F.col("doc_id").alias("resume_id"),
-        (F.col("doc_id") % N_JOBS).alias("job_id"),
+        (F.col("doc_id") % n_jobs(spark, d)).alias("job_id"),
         F.col("text").alias("resume_text"),
         F.concat("source", F.lit("_"), F.col("doc_id").cast("string"), F.lit(".pdf")).alias("filename"),
         "n_chars",
@@ -112,10 +123,18 @@ def sections(spark: SparkSession, d: str) -> DataFrame:
     cand = F.floor(F.col("vec_id") / 4).cast("bigint")
     part = F.element_at(F.array(*[F.lit(s) for s in SECTIONS]), (F.col("vec_id") % 4 + 1).cast("int"))
     return table(spark, d, "embeddings").select(
-        "vec_id", cand.alias("candidate_id"), (cand % N_VECTOR_JOBS).alias("job_id"), part.alias("section"), "embedding", "label"
+        "vec_id", cand.alias("candidate_id"), (cand % n_jobs(spark, d)).alias("job_id"), part.alias("section"), "embedding", "label"
     )
 
 
+def applied(spark: SparkSession, d: str) -> DataFrame:
+    """Sections once for every posting that their candidate applies to."""
+    n = n_jobs(spark, d)
+    step = max(1, n // (APPLICATIONS - POPULAR))
+    wanted = [F.lit(a % n).cast("bigint") for a in range(POPULAR)] + [(F.col("candidate_id") + a * step) % n for a in range(APPLICATIONS - POPULAR)]
+    return sections(spark, d).withColumn("job_id", F.explode(F.array_distinct(F.array(*wanted))))
+
+
 def job_vectors(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "embeddings").select(F.col("vec_id").alias("job_id"), F.col("embedding").alias("job_embedding"))
 
@@ -164,25 +183,18 @@ def runs(spark: SparkSession, d: str) -> DataFrame:
 
 def predictions(spark: SparkSession, d: str) -> DataFrame:
     score = hash32("score", "doc_id") % 101 / F.lit(100.0)
-    return table(spark, d, "labels").select("doc_id", (F.col("doc_id") % 40).alias("qid"), F.col("quality").alias("y"), score.alias("score")).withColumn(
+    return table(spark, d, "labels").select("doc_id", (F.col("doc_id") % n_jobs(spark, d)).alias("qid"), F.col("quality").alias("y"), score.alias("score")).withColumn(
         "yhat", F.when(F.col("score") >= 0.5, 1).otherwise(0)
     )
 
 
-def lexicon(spark: SparkSession, d: str, size: int = 200) -> DataFrame:
-    """Term list of a fixed size, typed by hash: the test text is invented, so
-    its lexicon is taken from the postings themselves, and written once."""
+def lexicon(spark: SparkSession, d: str) -> DataFrame:
+    """Terms of three letters or more, typed by hash: the test text is invented, so
+    its lexicon is made of all words of the postings, and written once."""
     from rankloom.functions.text import word_tokens
     from rankloom.session import cut_lineage
 
     kinds = F.array(F.lit("ORG"), F.lit("GPE"), F.lit("NORP"))
-    counted = (
-        jobs(spark, d)
-        .select(F.explode_outer(word_tokens(F.col("job_text"))).alias("token"))
-        .filter(F.length("token") >= 3)
-        .groupBy("token")
-        .count()
-        .orderBy(F.desc("count"), "token")
-        .limit(size)
-    )
-    return cut_lineage(counted.select("token", F.element_at(kinds, (hash32("kind", "token") % 3 + 1).cast("int")).alias("kind")))
+    words = jobs(spark, d).select(F.explode(F.array_distinct(word_tokens(F.col("job_text")))).alias("token"))
+    terms = words.filter(F.length("token") >= 3).distinct()
+    return cut_lineage(terms.select("token", F.element_at(kinds, (hash32("kind", "token") % 3 + 1).cast("int")).alias("kind")))

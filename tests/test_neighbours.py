@@ -58,8 +58,8 @@ def test_approximate_search_finds_most(spark):
     from rankloom.plans import fixtures as X
 
     d = "/root/testdata/sf0.001"
-    exact = section_matches(X.sections(spark, d), X.job_vectors(spark, d), k=5).select("job_id", "section", "candidate_id")
-    near = N.approximate_matches(X.sections(spark, d), X.job_vectors(spark, d)).select("job_id", "section", "candidate_id")
+    exact = section_matches(X.applied(spark, d), X.job_vectors(spark, d), k=5).select("job_id", "section", "candidate_id")
+    near = N.approximate_matches(X.applied(spark, d), X.job_vectors(spark, d)).select("job_id", "section", "candidate_id")
     assert exact.join(near, ["job_id", "section", "candidate_id"]).count() >= 0.8 * exact.count()
 
 
@@ -69,8 +69,8 @@ def test_approximate_search_recalls_the_full_lists(spark, sf):
     from rankloom.plans import fixtures as X
 
     d = f"/root/testdata/{sf}"
-    exact = section_matches(X.sections(spark, d), X.job_vectors(spark, d))
-    near = N.approximate_matches(X.sections(spark, d), X.job_vectors(spark, d))
+    exact = section_matches(X.applied(spark, d), X.job_vectors(spark, d))
+    near = N.approximate_matches(X.applied(spark, d), X.job_vectors(spark, d))
     assert near.columns == exact.columns
     both = exact.join(near.drop("rank"), ["job_id", "section", "candidate_id", "similarity"])
     assert near.count() <= exact.count() and both.count() >= 0.9 * exact.count()
