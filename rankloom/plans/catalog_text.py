@@ -8,6 +8,7 @@ from rankloom.functions import structured as J
 from rankloom.functions import text as T
 from rankloom.functions import wordlists as W
 from rankloom.operators import extraction as E
+from rankloom.operators import phrase_lexicon as B
 from rankloom.operators import terms as I
 from rankloom.plans import fixtures as X
 from rankloom.plans.registry import query
@@ -224,6 +225,30 @@ def e12(spark, d):
     return found.select("resume_id", F.array_join("found", ",").alias("entities"))
 
 
+@query(
+    "e12_phrase_entities",
+    """SELECT r.resume_id, coalesce(f.entities, '') AS entities FROM v_resumes r LEFT JOIN (SELECT resume_id,
+    string_agg(phrase, ',' ORDER BY phrase) AS entities FROM (SELECT DISTINCT resume_id, phrase FROM v_spans) GROUP BY resume_id) f ON f.resume_id = r.resume_id""",
+)
+def e12_phrases(spark, d):
+    found = B.phrase_matches(X.texts(spark, d).select("resume_id", "resume_text"), "resume_id", F.col("resume_text"), X.phrases(spark, d))
+    return found.select("resume_id", F.array_join("found", ",").alias("entities"))
+
+
+@query(
+    "e15_phrase_redaction",
+    """WITH hit AS (SELECT * FROM v_spans WHERE kind IN ('NAME', 'ADDRESS')), covered AS (SELECT DISTINCT resume_id, unnest(range(s, e)) AS pos FROM hit),
+    marked AS (SELECT p.resume_id, p.pos, p.piece, c.pos IS NOT NULL AS hidden FROM v_pieces p LEFT JOIN covered c ON c.resume_id = p.resume_id AND c.pos = p.pos),
+    shown AS (SELECT resume_id, pos, CASE WHEN NOT hidden THEN piece WHEN lag(hidden, 1, false) OVER (PARTITION BY resume_id ORDER BY pos) THEN '' ELSE '[REDACTED]' END AS piece FROM marked),
+    texts AS (SELECT resume_id, string_agg(piece, '' ORDER BY pos) AS redacted FROM shown GROUP BY resume_id),
+    n AS (SELECT resume_id, count(*) FILTER (kind = 'NAME') AS n_name, count(*) FILTER (kind = 'ADDRESS') AS n_address FROM hit GROUP BY resume_id)
+    SELECT r.resume_id, coalesce(t.redacted, r.resume_text) AS redacted, coalesce(n_name, 0) AS n_name, coalesce(n_address, 0) AS n_address
+    FROM v_resumes r LEFT JOIN texts t ON t.resume_id = r.resume_id LEFT JOIN n ON n.resume_id = r.resume_id""",
+)
+def e15_phrases(spark, d):
+    return B.redact_phrases(X.texts(spark, d), "resume_id", "resume_text", X.phrases(spark, d), ["NAME", "ADDRESS"])
+
+
 ENTS = f"""ents AS (SELECT pair_id, list_intersect(list_distinct({sql_words('resume_text')}), (SELECT list(token) FROM v_lexicon)) AS r,
       list_intersect(list_distinct({sql_words('job_description_text')}), (SELECT list(token) FROM v_lexicon)) AS j FROM v_pairs)"""
 

@@ -54,6 +54,30 @@ VIEW_SQL = {
     "unnest(regexp_extract_all(lower(job_text), '[a-z0-9_]{2,}')) AS token FROM v_jobs) WHERE length(token) >= 3)",
 }
 
+_FOLDED = (
+    "list_transform(regexp_extract_all({t}, '[A-Za-z0-9_]+|[^A-Za-z0-9_]+'), lambda p: CASE WHEN regexp_matches(p, '^[A-Za-z0-9_]') "
+    "THEN lower(p) WHEN regexp_matches(p, '^[ \\t\\r\\n-]+$') THEN ' ' ELSE chr(1) END)"
+)
+_PIECES = (
+    "SELECT {k}, unnest(regexp_extract_all({t}, '[A-Za-z0-9_]+|[^A-Za-z0-9_]+')) AS piece, unnest(cut) AS t, unnest(range(length(cut))) AS pos "
+    f"FROM (SELECT *, {_FOLDED} AS cut FROM {{v}})"
+)
+_GRAMS = (
+    "SELECT {k}, pos, 2 AS n, t || lead(t, 1) OVER w || lead(t, 2) OVER w AS phrase FROM {v} WINDOW w AS (PARTITION BY {k} ORDER BY pos) UNION ALL "
+    "SELECT {k}, pos, 3, t || lead(t, 1) OVER w || lead(t, 2) OVER w || lead(t, 3) OVER w || lead(t, 4) OVER w FROM {v} WINDOW w AS (PARTITION BY {k} ORDER BY pos)"
+)
+# Every piece of every text, and every place where a term stands.
+VIEW_SQL["v_pieces"] = _PIECES.format(k="resume_id", t="resume_text", v="v_resumes")
+VIEW_SQL["v_job_pieces"] = _PIECES.format(k="job_id", t="job_text", v="v_jobs")
+VIEW_SQL["v_phrases"] = (
+    "SELECT DISTINCT phrase, n, CASE ('0x' || substr(md5('phrase:' || phrase), 1, 8))::BIGINT % 3 WHEN 0 THEN 'NAME' WHEN 1 THEN 'ADDRESS' "
+    f"ELSE 'ORG' END AS kind FROM ({_GRAMS.format(k='job_id', v='v_job_pieces')}) WHERE regexp_full_match(phrase, '[a-z0-9_]+( [a-z0-9_]+){{1,2}}')"
+)
+VIEW_SQL["v_spans"] = (
+    "SELECT g.resume_id, g.pos AS s, g.pos + 2 * g.n - 1 AS e, x.phrase, x.kind "
+    f"FROM ({_GRAMS.format(k='resume_id', v='v_pieces')}) g JOIN v_phrases x ON x.phrase = g.phrase AND x.n = g.n"
+)
+
 
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
@@ -198,3 +222,19 @@ def lexicon(spark: SparkSession, d: str) -> DataFrame:
     words = jobs(spark, d).select(F.explode(F.array_distinct(word_tokens(F.col("job_text")))).alias("token"))
     terms = words.filter(F.length("token") >= 3).distinct()
     return cut_lineage(terms.select("token", F.element_at(kinds, (hash32("kind", "token") % 3 + 1).cast("int")).alias("kind")))
+
+
+def phrases(spark: SparkSession, d: str) -> DataFrame:
+    """All two- and three-word phrases of the postings, typed by hash, written once."""
+    from rankloom.operators.phrase_lexicon import folded, pieces
+    from rankloom.session import cut_lineage
+
+    kinds = F.array(F.lit("NAME"), F.lit("ADDRESS"), F.lit("ORG"))
+    cut = jobs(spark, d).select(folded(pieces(F.col("job_text"))).alias("_cut"))
+
+    def grams_of(n: int):
+        return F.transform("_cut", lambda p, i: F.array_join(F.slice("_cut", i + 1, 2 * n - 1), ""))
+
+    grams = F.concat(grams_of(2), grams_of(3))
+    rows = cut.select(F.explode(F.array_distinct(grams)).alias("phrase")).filter(F.col("phrase").rlike("^[a-z0-9_]+( [a-z0-9_]+){1,2}$")).distinct()
+    return cut_lineage(rows.select("phrase", F.element_at(kinds, (hash32("phrase", "phrase") % 3 + 1).cast("int")).alias("kind")))
