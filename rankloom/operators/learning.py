@@ -51,9 +51,16 @@ def fit_score_model(training: DataFrame, trees: int = 100, depth: int = 4, step:
     return boosted_trees(SCORE_FEATURES, trees=trees, depth=depth, step=step).fit(training)
 
 
-def pair_features(pairs: DataFrame, jobs: DataFrame, lexicon: DataFrame) -> DataFrame:
+def pair_features(
+    pairs: DataFrame, jobs: DataFrame, lexicon: DataFrame, tokens: DataFrame | None = None, terms: DataFrame | None = None
+) -> DataFrame:
     """The seven similarity, length, readability and entity features of labelled
-    pairs, with the binary label. Posting features are computed once per posting."""
+    pairs, with the binary label. Posting features are computed once per posting.
+
+    ``terms`` is a vocabulary from :func:`rankloom.operators.terms.fit_terms`, as fitted on
+    training pairs; without it one is fitted on these pairs. ``tokens`` are those of the
+    pairs, if they are made already.
+    """
     resume, text = F.col("resume_text"), F.col("job_text")
     own = pairs.select(
         "pair_id", "job_id", "label", T.word_count(resume).alias("resume_length"), T.reading_ease(resume).alias("resume_readability")
@@ -61,8 +68,8 @@ def pair_features(pairs: DataFrame, jobs: DataFrame, lexicon: DataFrame) -> Data
     posts = jobs.select(
         "job_id", T.word_count(text).alias("jd_length"), T.reading_ease(text).alias("jd_readability")
     )
-    tokens = I.pair_tokens(pairs, jobs, stop_words=W.STOP_WORDS)
-    cos = I.pair_tfidf_cosine(tokens, I.pair_tfidf(tokens))
+    tokens = I.pair_tokens(pairs, jobs, stop_words=W.STOP_WORDS) if tokens is None else tokens
+    cos = I.pair_tfidf_cosine(tokens, I.pair_tfidf(tokens, terms=terms))
     return (
         lookup_join(own, posts, ["job_id"])
         .join(I.ngram_jaccard(tokens), "pair_id")

@@ -5,15 +5,19 @@ from __future__ import annotations
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
+from rankloom.functions import text as T
 from rankloom.functions import vectors as V
+from rankloom.functions import wordlists as W
 from rankloom.operators import labels as L
 from rankloom.operators import learning as G
 from rankloom.operators import matching as M
 from rankloom.operators import metrics as K
 from rankloom.operators import neighbours as N
+from rankloom.operators import terms as I
 from rankloom.operators.forest_grid import forest_grid
 from rankloom.operators.tree_ranker import fit_tree_ranker, ranker_scores
 from rankloom.plans import fixtures as X
+from rankloom.plans.catalog_text import EASE, ENTS, q, sql_clean, sql_grams, sql_tfidf, sql_words
 from rankloom.plans.registry import query
 from rankloom.session import cut_lineage, scratch_path
 
@@ -157,11 +161,51 @@ def l4(spark, d):
     return K.classification_report(pred)
 
 
+L5_DOCS = f"""SELECT 'resume' AS side, pair_id AS doc_id, {sql_words(sql_clean('resume_text'), True)} AS tok, (split = 'train')::BIGINT AS uses FROM cut
+    UNION ALL SELECT 'job', job_id, {sql_words(sql_clean('any_value(job_description_text)'), True)}, count(*) FILTER (split = 'train') FROM cut GROUP BY job_id"""
+
+
+def _stats(side: str, key: str, text: str, source: str) -> str:
+    return f"""SELECT '{side}' AS side, {key} AS doc_id, length(list_filter(regexp_split_to_array({text}, {q(T.WHITE)}), lambda t: t <> '')) AS words,
+      length(regexp_extract_all({text}, '[.!?]+')) AS ends, length(regexp_extract_all(lower({text}), '[aeiouy]+')) AS vowels FROM {source}"""
+
+
+def split_features(spark, d):
+    """Features of the labelled pairs and their split; term weights learn from training rows alone."""
+    pairs = cut_lineage(L.exact_split(X.pairs(spark, d).filter(F.col("label") != "Potential Fit"), "pair_id"))
+    jobs = X.jobs(spark, d)
+    tokens = I.pair_tokens(pairs, jobs, stop_words=W.STOP_WORDS)
+    fitted = I.fit_terms(I.training_tokens(tokens, pairs.filter("split = 'train'")))
+    terms = spark.read.parquet(I.save_terms(fitted, scratch_path(spark, "terms")))
+    feats = G.pair_features(pairs, jobs, X.lexicon(spark, d), tokens, terms)
+    return feats.join(pairs.select("pair_id", "split"), "pair_id").withColumn("label", L.numeric_target(F.col("label")))
+
+
+@query(
+    "l5_features",
+    f"""WITH cut AS MATERIALIZED (SELECT *, CASE WHEN row_number() OVER (ORDER BY ('0x' || substr(md5('42:' || pair_id), 1, 8))::BIGINT, pair_id)
+      <= (count(*) OVER () * 20 + 99) // 100 THEN 'test' ELSE 'train' END AS split FROM v_pairs WHERE label <> 'Potential Fit'),
+    {sql_tfidf(L5_DOCS, 'tok', None, 'HAVING sum(uses) > 0')}, {ENTS},
+    dots AS (SELECT p.pair_id, sum(r.weight * j.weight) AS dot FROM cut p JOIN weights r ON r.side = 'resume' AND r.doc_id = p.pair_id
+      JOIN weights j ON j.side = 'job' AND j.doc_id = p.job_id AND j.term = r.term GROUP BY p.pair_id),
+    sets AS (SELECT side, doc_id, list_distinct({sql_grams('tok', 2, 3)}) AS grams FROM docs),
+    sims AS (SELECT c.pair_id, length(list_intersect(a.grams, b.grams))::DOUBLE AS common, length(a.grams) + length(b.grams) AS sizes FROM cut c
+      JOIN sets a ON a.side = 'resume' AND a.doc_id = c.pair_id JOIN sets b ON b.side = 'job' AND b.doc_id = c.job_id),
+    stats AS (SELECT side, doc_id, words, {EASE} AS ease FROM ({_stats('resume', 'pair_id', 'resume_text', 'cut')} UNION ALL {_stats('job', 'job_id', 'job_text', 'v_jobs')}))
+    SELECT c.pair_id, c.split, CASE c.label WHEN 'Good Fit' THEN 1 ELSE 0 END AS label, round(CASE WHEN sizes = 0 THEN 0.0 ELSE common / (sizes - common) END, 6) AS jaccard,
+    round(coalesce(dot, 0.0), 6) AS tfidf_cosine, r.words AS resume_length, r.ease AS resume_readability, j.words AS jd_length, j.ease AS jd_readability,
+    length(list_intersect(e.r, e.j)) AS entity_overlap FROM cut c JOIN sims s ON s.pair_id = c.pair_id JOIN ents e ON e.pair_id = c.pair_id
+    JOIN stats r ON r.side = 'resume' AND r.doc_id = c.pair_id JOIN stats j ON j.side = 'job' AND j.doc_id = c.job_id LEFT JOIN dots x ON x.pair_id = c.pair_id""",
+)
+def l5_features(spark, d):
+    rounded = ["jaccard", "tfidf_cosine", "resume_readability", "jd_readability"]
+    rows = split_features(spark, d).select("pair_id", "split", "label", *G.PAIR_FEATURES)
+    return rows.withColumns({c: F.round(c, 6) for c in rounded})
+
+
 @query("l5_pair_classifier")
 def l5(spark, d):
-    pairs = X.pairs(spark, d)
-    feats = G.pair_features(pairs.filter(F.col("label") != "Potential Fit"), X.jobs(spark, d), X.lexicon(spark, d)).withColumn("label", L.numeric_target(F.col("label")))
-    cut = cut_lineage(L.exact_split(feats, "pair_id"))
+    cut = cut_lineage(split_features(spark, d))
     model = G.boosted_trees(G.PAIR_FEATURES).fit(cut.filter("split = 'train'"))
     pred = cut_lineage(G.with_probability(model, cut.filter("split = 'test'"), "score").withColumnRenamed("label", "y"))
     return K.precision_recall_f1(pred).withColumns(

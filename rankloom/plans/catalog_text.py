@@ -103,12 +103,12 @@ def e4(spark, d):
     return rows.select("job_id", F.explode_outer(T.ngrams(F.col("tokens"), 2, 3)).alias("gram")).filter(F.col("gram").isNotNull()).groupBy("job_id", "gram").agg(F.count("*").alias("n"))
 
 
-def sql_tfidf(docs: str, grams: str, max_features: int | None) -> str:
+def sql_tfidf(docs: str, grams: str, max_features: int | None, having: str = "") -> str:
     """docs: side, doc_id, tok, uses."""
     limit = f"ORDER BY corpus_tf DESC, term LIMIT {max_features}" if max_features else ""
     return f"""docs AS MATERIALIZED ({docs}),
     counts AS MATERIALIZED (SELECT side, doc_id, uses, term, count(*) AS tf FROM (SELECT side, doc_id, uses, unnest({grams}) AS term FROM docs) GROUP BY ALL),
-    vocab AS MATERIALIZED (SELECT term, sum(tf * uses) AS corpus_tf, sum(uses) AS df FROM counts GROUP BY term {limit}),
+    vocab AS MATERIALIZED (SELECT term, sum(tf * uses) AS corpus_tf, sum(uses) AS df FROM counts GROUP BY term {having} {limit}),
     idf AS MATERIALIZED (SELECT term, ln((1.0 + (SELECT sum(uses) FROM docs))::DOUBLE / (1 + df)::DOUBLE) + 1 AS idf FROM vocab),
     raw AS MATERIALIZED (SELECT side, doc_id, term, tf * idf AS w FROM counts JOIN idf USING (term)),
     weights AS MATERIALIZED (SELECT r.side, r.doc_id, r.term, r.w / n.norm AS weight FROM raw r JOIN

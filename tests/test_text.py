@@ -132,3 +132,30 @@ def test_cleaning_is_stable(spark, texts):
     once = df.select(T.clean_text(F.col("t")).alias("t"))
     again = once.select(T.clean_text(F.col("t")).alias("t"))
     assert [r["t"] for r in once.collect()] == [r["t"] for r in again.collect()]
+
+
+def test_terms_fitted_on_training_pairs(spark, tmp_path):
+    """A saved vocabulary weighs other texts; what training never saw weighs nothing."""
+    import math
+
+    jobs = spark.createDataFrame([(1, "xx yy"), (2, "yy zz")], "job_id long, job_text string")
+    pairs = spark.createDataFrame([(1, 1, "xx xx"), (2, 1, "yy"), (3, 2, "yy zz new"), (4, 2, "new")], "pair_id long, job_id long, resume_text string")
+    tokens = I.pair_tokens(pairs, jobs, lemmatise=False)
+    train = I.training_tokens(tokens, pairs.filter("pair_id < 3"))
+    terms = spark.read.parquet(I.save_terms(I.fit_terms(train), str(tmp_path / "terms")))
+    # Four training texts: xx xx, yy, and the first posting twice.
+    idf = math.log(5 / 4) + 1
+    assert {r["term"]: (r["df"], round(r["idf"], 12)) for r in terms.collect()} == {"xx": (3, round(idf, 12)), "yy": (3, round(idf, 12))}
+    weights = {(r["side"], r["doc_id"], r["term"]): round(r["weight"], 9) for r in I.pair_tfidf(tokens, terms=terms).collect()}
+    half = round(math.sqrt(0.5), 9)
+    assert weights == {
+        ("resume", 1, "xx"): 1.0,
+        ("resume", 2, "yy"): 1.0,
+        ("resume", 3, "yy"): 1.0,
+        ("job", 1, "xx"): half,
+        ("job", 1, "yy"): half,
+        ("job", 2, "yy"): 1.0,
+    }
+    cos = {r["pair_id"]: round(r["tfidf_cosine"], 9) for r in I.pair_tfidf_cosine(tokens, I.pair_tfidf(tokens, terms=terms)).collect()}
+    assert cos == {1: half, 2: half, 3: 1.0, 4: 0.0}
+    assert I.fit_terms(I.training_tokens(tokens, pairs.filter("false"))).count() == 0
