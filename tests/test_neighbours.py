@@ -31,6 +31,29 @@ def test_nearest_equals_brute_force(spark, metric):
         assert [j for _, j in sorted(found[i])] == [j for _, j in want]
 
 
+def test_nearest_over_ties_copies_and_unusable_vectors(spark):
+    # Copies of one vector in one cell, text ids, vectors that are null or hold nothing usable.
+    rows = [(f"p{i:03d}", [1.0, 2.0]) for i in range(60)] + [("z1", [1.0, 2.0000001]), ("z2", [4.0, 6.0])]
+    odd = [("n1", None), ("n2", [1.0, None]), ("n3", [float("nan"), 2.0])]
+    df = spark.createDataFrame(rows + odd, "id string, vector array<double>")
+    for metric, far in (("euclidean", 5.0), ("manhattan", 7.0)):
+        got = {}
+        for r in N.nearest(df, df, 3, [], metric, exclude_self=True, pivots=4, piece=8).collect():
+            got.setdefault(r["query_id"], []).append((r["rank"], r["point_id"], r["distance"]))
+        assert set(got) == {i for i, _ in rows}
+        assert sorted(got["p000"]) == [(1, "p001", 0.0), (2, "p002", 0.0), (3, "p003", 0.0)]
+        assert sorted(got["z1"])[0] == (1, "p000", 0.0) and sorted(got["z2"])[0] == (1, "p000", far)
+    assert N.nearest(df.filter("false"), df, 3, []).count() == N.nearest(df, df.filter("false"), 3, []).count() == 0
+
+
+def test_distances_do_not_lose_digits_far_from_the_origin(spark):
+    # A matrix product alone would be off by more than these gaps.
+    rows = [(i, [1e6 + 1e-3 * i, 1e6]) for i in range(50)]
+    df = spark.createDataFrame(rows, "id long, vector array<double>")
+    got = N.nearest(df, df, 2, [], exclude_self=True).filter("query_id = 20").orderBy("rank").collect()
+    assert [(r["point_id"], r["distance"]) for r in got] == [(19, 0.001), (21, 0.001)]
+
+
 def test_vote_by_distance_and_exact_hits(spark):
     rows = [(1, 0.0, 2), (1, 0.1, 1), (1, 0.1, 1), (2, 0.5, 1), (2, 1.0, 0), (2, 1.0, 0), (3, 1.0, 1), (3, 1.0, 0)]
     df = spark.createDataFrame(rows, "query_id long, distance double, label int")
