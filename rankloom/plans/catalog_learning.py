@@ -62,7 +62,19 @@ def d5_distance(spark, d):
     return N.vote(neighbours(spark, d, 7, "manhattan"), ["query_id"], weights="distance")
 
 
-@query("d2_approximate_search")
+@query(
+    "d2_approximate_search",
+    """WITH planes AS MATERIALIZED (SELECT i, list(CASE WHEN ('0x' || substr(md5('plane:' || i || ':' || j), 1, 8))::BIGINT % 2 = 0 THEN -1.0::DOUBLE ELSE 1.0::DOUBLE END ORDER BY j) AS plane
+      FROM range(512) a(i), range(64) b(j) GROUP BY i),
+    codes AS MATERIALIZED (SELECT vec_id, string_agg(CASE WHEN list_dot_product(embedding::DOUBLE[], plane) >= 0 THEN '1' ELSE '0' END, '' ORDER BY i)::BIT AS code
+      FROM embeddings, planes GROUP BY vec_id),
+    met AS MATERIALIZED (SELECT a.job_id, a.section, a.candidate_id, a.embedding, v.job_embedding, bit_count(xor(mine.code, theirs.code)) AS bits FROM v_applied a
+      JOIN v_job_vectors v ON v.job_id = a.job_id JOIN codes mine ON mine.vec_id = a.vec_id JOIN codes theirs ON theirs.vec_id = a.job_id),
+    upto AS (SELECT *, count(*) OVER (PARTITION BY job_id, section ORDER BY bits RANGE UNBOUNDED PRECEDING) AS n_upto, count(*) OVER (PARTITION BY job_id, section) AS n FROM met),
+    kept AS (SELECT *, min(bits) FILTER (n_upto >= least(n, greatest(200, ceil(n * 0.2::DOUBLE)))) OVER (PARTITION BY job_id, section) AS radius FROM upto),
+    scored AS (SELECT job_id, section, candidate_id, round(list_cosine_similarity(embedding::DOUBLE[], job_embedding::DOUBLE[]), 6) AS similarity FROM kept WHERE bits <= radius)
+    SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY job_id, section ORDER BY similarity DESC, candidate_id) AS rank FROM scored) WHERE rank <= 100""",
+)
 def d2(spark, d):
     return N.approximate_matches(X.applied(spark, d), X.job_vectors(spark, d))
 

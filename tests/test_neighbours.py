@@ -101,6 +101,28 @@ def test_approximate_search_recalls_the_full_lists(spark, sf):
     assert all(r["last"] == r["n"] <= 100 for r in ranks)
 
 
+def test_a_large_group_is_mostly_left_out(spark):
+    from rankloom.operators.matching import section_matches
+
+    r = random.Random(11)
+    row = lambda: [r.gauss(0, 1) for _ in range(64)]
+    mine = spark.createDataFrame([(1, "misc", i, row()) for i in range(3000)], "job_id long, section string, candidate_id long, embedding array<double>")
+    job = spark.createDataFrame([(1, row()), (2, row())], "job_id long, job_embedding array<double>")
+    near = N.shortlist(mine, job)
+    assert near.count() < 0.3 * 3000
+    exact = section_matches(mine, job).select("candidate_id", "similarity")
+    assert exact.join(N.approximate_matches(mine, job), ["candidate_id", "similarity"]).count() >= 90
+
+
+def test_approximate_search_of_vectors_without_length(spark):
+    rows = [(1, "misc", 1, [0.0, 0.0]), (1, "misc", 2, None), (1, "misc", 3, [1.0, None]), (1, "misc", 4, [1.0, 1.0]), (1, "misc", 5, [1.0]), (2, "misc", 1, [1.0, 0.0])]
+    mine = spark.createDataFrame(rows, "job_id long, section string, candidate_id long, embedding array<double>")
+    job = spark.createDataFrame([(1, [2.0, 2.0]), (2, [0.0, 0.0])], "job_id long, job_embedding array<double>")
+    got = {(r["job_id"], r["candidate_id"]): r["similarity"] for r in N.approximate_matches(mine, job, 5).collect()}
+    assert got == {(1, 1): 0.0, (1, 2): 0.0, (1, 3): 0.0, (1, 4): 1.0, (1, 5): 0.0, (2, 1): 0.0}
+    assert N.approximate_matches(mine.filter("false"), job).count() == N.approximate_matches(mine, job.filter("false")).count() == 0
+
+
 def test_fit_model_smoke(spark):
     ids = spark.range(400).withColumnRenamed("id", "k")
     model = G.fit_score_model(G.synthetic_candidates(ids, "k"), trees=10)
