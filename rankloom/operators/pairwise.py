@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -91,6 +93,71 @@ def comparisons(verdicts: DataFrame, answer: str = "answer") -> DataFrame:
     )
 
 
+class Fit(NamedTuple):
+    """Strengths (group, item, wins, strength), the steps made, the largest relative move of the
+    last step per group (group, n_items, largest_move), and whether the tolerance was met."""
+
+    strengths: DataFrame
+    steps: int
+    moves: DataFrame
+    converged: bool
+
+
+def counted_pairs(compared: DataFrame, group: str) -> DataFrame:
+    """One row per compared pair: group, lo, hi, n, n_lo (won by lo)."""
+    lo, hi = F.least("winner", "loser").alias("lo"), F.greatest("winner", "loser").alias("hi")
+    return compared.groupBy(group, lo, hi).agg(F.count("*").alias("n"), F.count_if(F.col("winner") < F.col("loser")).alias("n_lo"))
+
+
+def _step(pairs: DataFrame, strengths: DataFrame, group: str) -> DataFrame:
+    at_lo = strengths.select(group, F.col("item").alias("lo"), F.col("strength").alias("w_lo"))
+    at_hi = strengths.select(group, F.col("item").alias("hi"), F.col("strength").alias("w_hi"))
+    share = F.col("n") / (F.col("w_lo") + F.col("w_hi"))
+    load = (
+        pairs.join(at_lo, [group, "lo"])
+        .join(at_hi, [group, "hi"])
+        .select(group, F.explode(F.array("lo", "hi")).alias("item"), share.alias("share"))
+        .groupBy(group, "item")
+        .agg(F.sum("share").alias("load"))
+    )
+    return strengths.select(group, "item", "wins", F.col("strength").alias("_old")).join(load, [group, "item"]).select(
+        group, "item", "wins", F.greatest(F.col("wins") / F.col("load"), F.lit(FLOOR)).alias("strength"), "_old"
+    )
+
+
+def fit(compared: DataFrame, group: str, max_steps: int = 50, tolerance: float | None = 1e-6, check_every: int = 5) -> Fit:
+    """Bradley–Terry strengths by the minorise-maximise rule, all groups in step.
+
+    The counted pairs are laid out by their lower item once. A step then shuffles them once at
+    most, to meet the strengths of the higher item, and not at all while the strengths are few
+    enough to broadcast; sums per item are made on the map side first. Only the strengths, one
+    row per item, are written in a step. With a tolerance the loop ends when no
+    strength moves by more than it, relatively; without comparisons nothing is fitted.
+    """
+    from rankloom.session import cut_lineage, laid_out
+
+    with laid_out(counted_pairs(compared, group), [group, "lo"]) as pairs:
+        sides = F.array(
+            F.struct(F.col("lo").alias("item"), F.col("n_lo").alias("won")),
+            F.struct(F.col("hi").alias("item"), (F.col("n") - F.col("n_lo")).alias("won")),
+        )
+        items = cut_lineage(pairs.select(group, F.inline(sides)).groupBy(group, "item").agg(F.sum("won").alias("wins")))
+        strengths, moved = items.withColumn("strength", F.lit(1.0)), items.withColumns({"strength": F.lit(1.0), "_old": F.lit(1.0)})
+        made, converged = 0, False
+        for made in range(1, max_steps + 1):
+            moved = cut_lineage(_step(pairs, strengths, group))
+            strengths = moved.drop("_old")
+            if tolerance is not None and made % check_every == 0:
+                delta = moved.agg(F.max(F.abs(F.col("strength") - F.col("_old")) / F.col("_old"))).first()[0]
+                converged = delta is None or delta <= tolerance
+                if converged:
+                    break
+    moves = moved.groupBy(group).agg(
+        F.count("*").alias("n_items"), F.max(F.abs(F.col("strength") - F.col("_old")) / F.col("_old")).alias("largest_move")
+    )
+    return Fit(strengths, made, moves, converged)
+
+
 def fit_strengths(
     compared: DataFrame,
     group: str,
@@ -98,44 +165,34 @@ def fit_strengths(
     tolerance: float | None = 1e-6,
     check_every: int = 5,
 ) -> DataFrame:
-    """Bradley–Terry strengths by the minorise-maximise rule, all groups in step.
+    """Strengths alone of :func:`fit`."""
+    return fit(compared, group, max_steps, tolerance, check_every).strengths
 
-    Every step joins the strengths to the counted pairs and sums per item, with
-    map-side sums; only the strengths, one row per item, are new, and they are
-    checkpointed so that steps do not pile up in the lineage. With a tolerance
-    the loop ends when no strength moves by more than it, relatively.
-    """
-    from rankloom.session import cut_lineage
 
-    lo, hi = F.least("winner", "loser").alias("lo"), F.greatest("winner", "loser").alias("hi")
-    pairs = cut_lineage(compared.groupBy(group, lo, hi).agg(F.count("*").alias("n"), F.count_if(F.col("winner") < F.col("loser")).alias("n_lo")))
-    sides = F.array(
-        F.struct(F.col("lo").alias("item"), F.col("n_lo").alias("won")),
-        F.struct(F.col("hi").alias("item"), (F.col("n") - F.col("n_lo")).alias("won")),
-    )
-    items = cut_lineage(pairs.select(group, F.inline(sides)).groupBy(group, "item").agg(F.sum("won").alias("wins")))
-    strengths = items.withColumn("strength", F.lit(1.0))
-    for step in range(1, max_steps + 1):
-        at_lo = strengths.select(group, F.col("item").alias("lo"), F.col("strength").alias("w_lo"))
-        at_hi = strengths.select(group, F.col("item").alias("hi"), F.col("strength").alias("w_hi"))
-        share = F.col("n") / (F.col("w_lo") + F.col("w_hi"))
-        load = (
-            pairs.join(at_lo, [group, "lo"])
-            .join(at_hi, [group, "hi"])
-            .select(group, F.explode(F.array("lo", "hi")).alias("item"), share.alias("share"))
-            .groupBy(group, "item")
-            .agg(F.sum("share").alias("load"))
-        )
-        moved = strengths.select(group, "item", "wins", F.col("strength").alias("_old")).join(load, [group, "item"]).select(
-            group, "item", "wins", F.greatest(F.col("wins") / F.col("load"), F.lit(FLOOR)).alias("strength"), "_old"
-        )
-        moved = cut_lineage(moved)
-        strengths = moved.drop("_old")
-        if tolerance is not None and step % check_every == 0:
-            delta = moved.agg(F.max(F.abs(F.col("strength") - F.col("_old")) / F.col("_old"))).first()[0]
-            if delta is None or delta <= tolerance:
-                break
-    return strengths
+def components(compared: DataFrame, group: str) -> DataFrame:
+    """Lowest item that every item is linked to by comparisons: group, item, component.
+
+    Strengths of items in different components of a group say nothing about each other. Labels
+    take the lowest of their neighbours' and then their label's label, until none moves.
+    """
+    from rankloom.session import cut_lineage, laid_out
+
+    with laid_out(counted_pairs(compared, group).select(group, "lo", "hi"), [group, "lo"]) as pairs:
+        labels = cut_lineage(pairs.select(group, F.explode(F.array("lo", "hi")).alias("item")).distinct().withColumn("component", F.col("item")))
+        while True:
+            at_lo = labels.select(group, F.col("item").alias("lo"), F.col("component").alias("c_lo"))
+            at_hi = labels.select(group, F.col("item").alias("hi"), F.col("component").alias("c_hi"))
+            least = F.least("c_lo", "c_hi").alias("component")
+            met = pairs.join(at_lo, [group, "lo"]).join(at_hi, [group, "hi"])
+            low = met.select(group, F.explode(F.array("lo", "hi")).alias("item"), least).groupBy(group, "item").agg(F.min("component").alias("component"))
+            jump = labels.select(group, F.col("item").alias("component"), F.col("component").alias("_next"))
+            old = labels.select(group, "item", F.col("component").alias("_old"))
+            new = cut_lineage(
+                low.join(jump, [group, "component"]).join(old, [group, "item"]).select(group, "item", F.least("component", "_next").alias("component"), "_old")
+            )
+            labels = new.drop("_old")
+            if not new.filter(F.col("component") != F.col("_old")).limit(1).count():
+                return labels
 
 
 def negative_log_likelihood(compared: DataFrame, strengths: DataFrame, group: str) -> DataFrame:

@@ -276,6 +276,24 @@ def g11_full(spark, d):
     return P.ranked_strengths(P.normalised(fit, "job_id"), "job_id").select("job_id", "item", "score", "rank")
 
 
+@query(
+    "g11_fit_report",
+    f"""WITH RECURSIVE {FIT3}, near AS (SELECT DISTINCT job_id, winner AS item, loser AS other FROM compared UNION SELECT DISTINCT job_id, loser, winner FROM compared),
+    reach AS (SELECT job_id, item, item AS other FROM near UNION SELECT r.job_id, r.item, n.other FROM reach r JOIN near n ON n.job_id = r.job_id AND n.item = r.other),
+    parts AS (SELECT job_id, count(DISTINCT low) AS n_components FROM (SELECT job_id, item, min(other) AS low FROM reach GROUP BY job_id, item) GROUP BY job_id),
+    moves AS (SELECT b.job_id, count(*) AS n_items, round(max(abs(b.strength - a.strength) / a.strength), 6) AS largest_move
+      FROM s3 b JOIN s2 a ON a.job_id = b.job_id AND a.item = b.item GROUP BY b.job_id)
+    SELECT m.job_id, n_items, n_components, largest_move, 3::INTEGER AS steps FROM moves m JOIN parts p ON p.job_id = m.job_id""",
+)
+def g11_report(spark, d):
+    from rankloom.session import cut_lineage
+
+    done = cut_lineage(compared(spark, d).select("job_id", "winner", "loser"))
+    fit = P.fit(done, "job_id", max_steps=3, tolerance=None)
+    parts = P.components(done, "job_id").groupBy("job_id").agg(F.count_distinct("component").alias("n_components"))
+    return fit.moves.join(parts, "job_id").select("job_id", "n_items", "n_components", F.round("largest_move", 6).alias("largest_move"), F.lit(fit.steps).alias("steps"))
+
+
 @query(
     "g12_neg_log_likelihood",
     f"""WITH {FIT3} SELECT c.job_id, round(-sum(ln(a.strength / (a.strength + b.strength))), 4) AS nll, count(*) AS n FROM compared c

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -68,3 +70,18 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     path = scratch_path(df.sparkSession, "step")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def laid_out(df: DataFrame, keys: list[str]) -> Iterator[DataFrame]:
+    """A frame written in buckets of ``keys`` below the shared folder, for joins on them that are
+    made again and again: the frame is not shuffled for those. The table's name lives as
+    long as the context; frames made from it have to be written before that ends."""
+    spark = df.sparkSession
+    name = f"laid_out_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).option("path", scratch_path(spark, "buckets")).saveAsTable(name)
+    try:
+        yield spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")

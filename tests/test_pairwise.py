@@ -71,6 +71,49 @@ def test_item_without_wins_gets_the_floor(spark):
     assert {r["rank"]: r["item"] for r in top}[3] == 3
 
 
+def test_fit_tells_steps_and_moves(spark):
+    done = spark.createDataFrame([(1, 1, 2), (1, 2, 3), (1, 3, 1), (2, 1, 2), (2, 2, 1), (2, 1, 2)], "job long, winner long, loser long")
+    fit = P.fit(done, "job", tolerance=1e-6)
+    assert fit.converged and fit.steps % 5 == 0 and fit.steps < 50
+    assert {r["job"]: r["n_items"] for r in fit.moves.filter("largest_move <= 1e-6").collect()} == {1: 3, 2: 2}
+    short = P.fit(done, "job", max_steps=2, tolerance=None)
+    assert (short.steps, short.converged) == (2, False)
+    none = P.fit(done.filter("false"), "job")
+    assert none.converged and none.strengths.count() == none.moves.count() == 0
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("laid_out")]
+
+
+def test_components_of_long_chains(spark):
+    chain = [(1, i, i + 1) if i % 2 else (1, i + 1, i) for i in range(40)]
+    rows = chain + [(1, 100, 101), (2, 1, 2), (2, 3, 4), (2, 4, 1)]
+    got = P.components(spark.createDataFrame(rows, "job long, winner long, loser long"), "job").collect()
+    assert {(r["job"], r["item"]): r["component"] for r in got} == {
+        **{(1, i): 0 for i in range(41)}, (1, 100): 100, (1, 101): 100, **{(2, i): 1 for i in range(1, 5)}
+    }
+
+
+def test_a_step_shuffles_the_pairs_once(spark):
+    from rankloom.session import cut_lineage, laid_out
+
+    rows = [(g, i, (i * 7 + 1) % 50) for g in range(4) for i in range(50) if i != (i * 7 + 1) % 50]
+    pairs = P.counted_pairs(spark.createDataFrame(rows, "job long, winner long, loser long"), "job")
+    items = spark.createDataFrame([(g, i, 1, 1.0) for g in range(4) for i in range(50)], "job long, item long, wins long, strength double")
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        with laid_out(pairs, ["job", "lo"]) as laid:
+            plan = P._step(laid, cut_lineage(items), "job")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "Reused" not in line]
+    # Strengths to the lower item, used again for the higher, and to their old values; pairs to
+    # the higher item alone; sums. Only strengths are hashed by the lower item.
+    assert len(moved) == 4 and "Bucketed: true" in plan
+    assert [sum(name in m for m in moved) for name in ("lo#", "hi#", "item#")] == [1, 1, 2]
+
+
 def test_likelihood_does_not_depend_on_scale(spark):
     done = spark.createDataFrame([(1, 1, 2), (1, 2, 3), (1, 3, 1)], "job long, winner long, loser long")
     s = spark.createDataFrame([(1, 1, 2.0), (1, 2, 1.0), (1, 3, 0.5)], "job long, item long, strength double")
