@@ -4,20 +4,25 @@ Fixed formats (e-mail, IPv4, card number with Luhn digit, international phone nu
 find the base spans; their texts are the seeds. Every seed and every other candidate,
 a token with ``@`` or a group of digits, stands in a context: the word before, the word
 after, and both. Contexts are patterns. Patterns and the distinct candidates seen in
-them form a graph that is scored in rounds: a pattern is worth the share of its
+them form a graph that is scored in rounds, until nothing new is found: a pattern is worth the share of its
 candidates that are known for a kind, a candidate is worth the chance that at least
 one of its trusted patterns is right. Patterns that are backed by enough known
 candidates and worth enough find identifiers the formats miss. They only add spans:
 the kind must fit the candidate's form, and the span must not touch a base span.
 
 Offsets are code points, the end is exclusive. Null text is empty. A text may hold any
-number of spans; starts are summed in blocks, so a long text stays linear. Repeated
+number of spans; starts are summed in blocks and candidates find the spans they touch by
+halving, so a long text stays near linear. A neighbouring word is looked for among the
+CONTEXT_CHARS characters beside a span. Equal worths go to the kind that sorts last. Repeated
 rows are judged one by one and count once in the graph. An empty table gives no rows.
 Further columns are not read.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,7 +42,8 @@ FORMATS = {
 HINTS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": "[0-9][ -]?[0-9]", "phone": r"\+[0-9]"}
 CANDIDATE = r"(?<![^\s@])[^\s@]++@[^\s@]++|\(?[0-9](?:[ ().-]{0,2}[0-9])*+"
 
-ROUNDS = 3
+#: Up to so many spans of a kind in a text, a candidate is held against each of them.
+FEW = 16
 #: A pattern is trusted when so many known candidates back it …
 SUPPORT = 3.0
 #: … and it is worth at least this; a candidate is taken at the same worth.
@@ -140,6 +146,27 @@ def _fits(kind: Column, text: Column) -> Column:
     )
 
 
+def touches(spans: str, c: Column) -> Column:
+    """Whether one of some spans, in order and apart from each other, shares a place with ``c``.
+
+    Few spans are tried in turn. Of many, halving finds the last that starts before the
+    end of ``c``, the one with the greatest end among those.
+    """
+    a = F.col(spans)
+    starts_before = lambda i: F.get(a, i)["start"] < c["end"]
+    middle = lambda s: F.shiftright(s["lo"] + s["hi"], 1)
+    halved = F.aggregate(
+        F.sequence(F.lit(0), F.ceil(F.log2(F.size(a) + F.lit(1.0))).cast("int")),
+        F.struct(F.lit(0).alias("lo"), F.size(a).alias("hi")),
+        lambda s, _: F.when(s["lo"] >= s["hi"], s)
+        .when(starts_before(middle(s)), F.struct((middle(s) + 1).alias("lo"), s["hi"].alias("hi")))
+        .otherwise(F.struct(s["lo"].alias("lo"), middle(s).alias("hi"))),
+        lambda s: F.when(s["lo"] > 0, F.get(a, s["lo"] - 1)["end"] > c["start"]).otherwise(F.lit(False)),
+    )
+    each = F.exists(a, lambda s: (s["start"] < c["end"]) & (c["start"] < s["end"]))
+    return F.when(F.size(a) <= FEW, each).otherwise(halved)
+
+
 def base_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Written table: row number, id, hash of the text, spans by kind, other candidates."""
     df = docs.select(F.col(id_col), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"))
@@ -148,9 +175,7 @@ def base_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     df = with_spans(df, "_text", "_other", CANDIDATE, "[0-9@]")
     for kind in KINDS:
         df = df.withColumn(f"_{kind}", F.filter(f"_{kind}", _valid(kind)))
-    known = F.flatten(F.array(*[F.transform(f"_{k}", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))) for k in KINDS]))
-    df = df.withColumn("_known", known)
-    clear = F.filter("_other", lambda c: ~F.exists("_known", lambda s: (s["start"] < c["end"]) & (c["start"] < s["end"])))
+    clear = F.filter("_other", lambda c: ~reduce(or_, [touches(f"_{k}", c) for k in KINDS]))
     df = numbered(df.select(id_col, F.xxhash64("_text").alias("_text_hash"), *[F.col(f"_{k}").alias(k) for k in KINDS], clear.alias("other")))
     return cut_lineage(df)
 
@@ -161,11 +186,13 @@ def _contexts(kind: Column, s: Column) -> Column:
     return F.struct(kind.alias("kind"), F.lower(s["text"]).alias("item"), F.array_compact(patterns).alias("patterns"))
 
 
-def discovered(found: DataFrame, rounds: int = ROUNDS, support: float = SUPPORT, worth: float = WORTH) -> DataFrame:
+def discovered(found: DataFrame, support: float = SUPPORT, worth: float = WORTH) -> DataFrame:
     """(item, kind) of candidates that trusted patterns reveal, as a written table.
 
     Only patterns with at least ``support`` distinct candidates can ever be trusted,
-    so the graph is cut to them before the first round.
+    so the graph is cut to them before the first round. Rounds go on until one takes no
+    candidate that was not known; a candidate once taken stays, with its kind and its
+    highest worth, so that they come to an end.
     """
     def in_context(kind: str | None):
         return lambda s: _contexts(F.lit(kind).cast("string"), s)
@@ -178,18 +205,24 @@ def discovered(found: DataFrame, rounds: int = ROUNDS, support: float = SUPPORT,
     wide = edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= support)
     edges = cut_lineage(edges.join(wide, "pattern"))
     known = seeds.withColumn("score", F.lit(1.0))
-    new = known.limit(0)
-    for _ in range(rounds):
+    new, taken = known.limit(0), 0
+    while True:
         backing = edges.join(known, "item").groupBy("pattern", "kind").agg(F.sum("score").alias("backed"), F.first("n").alias("n"))
         trusted = backing.withColumn("worth", F.col("backed") / (F.col("n") + 1)).filter((F.col("backed") >= support) & (F.col("worth") >= worth))
         trusted = cut_lineage(trusted.select("pattern", "kind", "worth"))
         doubt = F.exp(F.sum(F.log(1 - F.col("worth"))))
         reached = edges.join(trusted, "pattern").filter(_fits(F.col("kind"), F.col("item"))).groupBy("item", "kind").agg((1 - doubt).alias("score"))
-        # A candidate is of one kind: the one it is worth most for.
-        best = reached.groupBy("item").agg(F.max(F.struct("score", "kind")).alias("top")).select("item", "top.kind", "top.score").filter(F.col("score") >= worth)
-        new = cut_lineage(best.join(seeds.select("item").distinct(), "item", "left_anti"))
+        # A candidate is of one kind: the one it was taken for, else the one it is worth most for.
+        told = reached.join(seeds.select("item").distinct(), "item", "left_anti").filter(F.col("score") >= worth).withColumn("old", F.lit(False))
+        every = told.unionByName(new.withColumn("old", F.lit(True)))
+        kind = F.coalesce(F.max(F.when(F.col("old"), F.col("kind"))), F.max_by("kind", F.struct("score", "kind")))
+        chosen = every.groupBy("item").agg(kind.alias("kind"), F.collect_set(F.struct("kind", "score")).alias("all"))
+        score = F.array_max(F.transform(F.filter("all", lambda s: s["kind"] == F.col("kind")), lambda s: s["score"]))
+        new = cut_lineage(chosen.select("item", "kind", score.alias("score")))
+        before, taken = taken, new.count()
+        if taken == before:
+            return new.select("item", "kind")
         known = seeds.withColumn("score", F.lit(1.0)).unionByName(new)
-    return new.select("item", "kind")
 
 
 def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

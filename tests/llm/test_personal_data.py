@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -80,6 +81,38 @@ def test_trusted_contexts_reveal_other_forms(docs_of):
     assert all(len(got[i][0]) == 1 for i in range(8))
 
 
+def test_rounds_go_on_until_nothing_new_is_found(docs_of):
+    # The context of a stage is trusted only once the stage before it has been found.
+    rows, number = [], iter(range(100, 10_000))
+    found = [f"+1 (663) 555-{next(number):04d}" for _ in range(2)]
+    for stage in range(6):
+        sure = [f"+1 (663) 555-{next(number):04d}" for _ in range(9)]
+        new = [f"(663) 555-{next(number):04d}" for _ in range(2)]
+        rows += [(stage, f"word{'abcdef'[stage]} {item}") for item in sure + found + new]
+        found = new
+    got = P.personal_data(docs_of(rows)).collect()
+    assert len(got) == 6 * 13 and all([s["kind"] for s in r["spans"]] == ["phone"] for r in got)
+
+
+def test_candidates_beside_many_spans(docs_of):
+    rng = random.Random(8)
+    texts = ["".join(rng.choice(["a@b.co ", "10.0.0.1 ", "+1 (663) 555-6869 ", "77-88 ", "x@y ", "1.2.3.4.5 ", "é "]) for _ in range(rng.randint(30, 300))) for _ in range(30)]
+    found = P.base_spans(docs_of(list(enumerate(texts)))).collect()
+    assert len(found) == len(texts)
+    for r in found:
+        text = texts[r["doc_id"]]
+        known = [tuple(map(int, s.split(":")[1:])) for s in brute(text)]
+        every = [(m.start(), m.end()) for m in re.finditer(P.CANDIDATE, text)]
+        assert [(c["start"], c["end"]) for c in r["other"]] == [(a, b) for a, b in every if not any(s < b and a < e for s, e in known)]
+
+
+def test_a_text_of_very_many_spans_stays_quick(docs_of):
+    docs = docs_of([(1, "a@b.co and 77-88 or " * 16_000)])
+    began = time.time()
+    row = P.personal_data(docs).select(F.size("base").alias("n"), F.size("spans").alias("all")).first()
+    assert (row["n"], row["all"]) == (16_000, 16_000) and time.time() - began < 30
+
+
 def test_redaction_takes_effect(docs_of):
     docs = docs_of([(1, "write a@b.co or 10.0.0.1 now"), (2, "nothing"), (None, "é +1 (663) 555-6869"), (3, None), (1, "other a@b.co"), (4, "4111 1111 1111 1111"), (4, "4111 1111 1111 1111")])
     left = P.redacted(docs)
