@@ -39,20 +39,21 @@ def a3(spark, d):
 
 def zip_files(batches):
     """One archive per document: two members to read and three to skip."""
-    import pandas as pd
-
-    for pdf in batches:
-        out = []
-        for i, text in zip(pdf["doc_id"], pdf["text"]):
-            buf = io.BytesIO()
-            with zipfile.ZipFile(buf, "w") as z:
-                z.writestr(f"in/{i}.pdf", text)
-                z.writestr(f"in/{i}.PDF", text[::-1])
-                z.writestr("in/", "")
-                z.writestr(f"__MACOSX/{i}.pdf", "x")
-                z.writestr("in/notes.txt", "x")
-            out.append(buf.getvalue())
-        yield pd.DataFrame({"path": [f"zip/{i}.zip" for i in pdf["doc_id"]], "content": out})
+    import pyarrow as pa
+
+    def archives():
+        for batch in batches:
+            for i, text in ((i.as_py(), text.as_py()) for i, text in zip(*batch.columns)):
+                buf = io.BytesIO()
+                with zipfile.ZipFile(buf, "w") as z:
+                    z.writestr(f"in/{i}.pdf", text)
+                    z.writestr(f"in/{i}.PDF", text[::-1])
+                    z.writestr("in/", "")
+                    z.writestr(f"__MACOSX/{i}.pdf", "x")
+                    z.writestr("in/notes.txt", "x")
+                yield f"zip/{i}.zip", buf.getvalue()
+
+    return FS.in_chunks(archives(), {"path": pa.string(), "content": pa.binary()})
 
 
 @query(
@@ -62,7 +63,7 @@ def zip_files(batches):
     FROM (SELECT *, unnest(['in/' || doc_id || '.pdf', 'in/' || doc_id || '.PDF', 'in/', '__MACOSX/' || doc_id || '.pdf', 'in/notes.txt']) AS m FROM documents)""",
 )
 def a4(spark, d):
-    archives = X.table(spark, d, "documents").select("doc_id", "text").mapInPandas(zip_files, "path string, content binary")
+    archives = X.table(spark, d, "documents").select("doc_id", "text").mapInArrow(zip_files, "path string, content binary")
     return FS.expand_zips(archives).select("archive", "member", "skipped", F.octet_length("content").cast("bigint").alias("n_bytes"))
 
 

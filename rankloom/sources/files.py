@@ -13,6 +13,7 @@ from collections.abc import Callable, Iterator
 from xml.etree import ElementTree
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,27 +46,39 @@ def _skipped(name: str, wanted: tuple[str, ...]) -> bool:
 
 def expand_zips(archives: DataFrame, wanted: tuple[str, ...] = (".pdf",), chunk_bytes: int = 8 << 20) -> DataFrame:
     """One row per archive member; skipped members keep their name and lose
-    their bytes. Rows are handed over in chunks of some megabytes, so an archive
-    never sits unpacked in memory as a whole."""
-    columns = ["archive", "member", "skipped", "content"]
+    their bytes. Archives are taken from a batch one at a time and rows handed over in
+    chunks of some megabytes, so neither a batch nor an archive sits unpacked in memory as a whole."""
+    kinds = {"archive": pa.string(), "member": pa.string(), "skipped": pa.bool_(), "content": pa.binary()}
 
-    def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows, held = [], 0
+    def members(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for batch in batches:
-            for path, content in zip(batch["path"], batch["content"]):
-                with zipfile.ZipFile(io.BytesIO(content)) as z:
+            for path, content in zip(*batch.columns):
+                with zipfile.ZipFile(pa.BufferReader(content.as_buffer())) as z:
                     for member in z.infolist():
                         skip = _skipped(member.filename, wanted)
-                        data = None if skip else z.read(member)
-                        rows.append((path, member.filename, skip, data))
-                        held += len(data or b"") + 100
-                        if held >= chunk_bytes:
-                            yield pd.DataFrame(rows, columns=columns)
-                            rows, held = [], 0
-        if rows:
-            yield pd.DataFrame(rows, columns=columns)
-
-    return archives.select("path", "content").mapInPandas(unpack, "archive string, member string, skipped boolean, content binary")
+                        yield path.as_py(), member.filename, skip, None if skip else z.read(member)
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return in_chunks(members(batches), kinds, chunk_bytes)
+
+    return archives.select("path", "content").mapInArrow(unpack, "archive string, member string, skipped boolean, content binary")
+
+
+def in_chunks(rows: Iterator[tuple], kinds: dict[str, pa.DataType], chunk_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """Rows as Arrow batches of some megabytes; the last column, bytes or none, settles their size."""
+
+    def batch(held: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*held), kinds.values())], list(kinds))
+
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += len(row[-1] or b"") + 100
+        if size >= chunk_bytes:
+            yield batch(held)
+            held, size = [], 0
+    if held:
+        yield batch(held)
 
 
 def docx_text(data: bytes) -> str:
