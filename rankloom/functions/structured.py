@@ -155,19 +155,31 @@ def validation_errors(record: str) -> Column:
     return F.expr(_field_problems(record, None, RESUME_FIELDS, 0))
 
 
+def _checked(df: DataFrame, raw: str, when: Column | None = None) -> DataFrame:
+    """Columns parsed, errors and valid, for the rows of ``when`` alone.
+
+    The messages come out of a generator: as a plain column, a later filter on them would be
+    moved below and parse a record again for each of its fields."""
+    wanted = F.lit(True) if when is None else when
+    typed = df.withColumns({"parsed": F.when(wanted, F.from_json(raw, RESUME_SCHEMA)), "_typed": F.when(wanted & is_json(F.col(raw)), F.try_parse_json(raw))})
+    found = F.when(~wanted, F.lit(None)).when(F.col("_typed").isNull(), F.array(F.lit("Invalid JSON"))).otherwise(validation_errors("_typed"))
+    return typed.select("*", F.explode_outer(F.array(found)).alias("errors")).withColumn("valid", F.size("errors") == 0).drop("_typed")
+
+
 def validate(df: DataFrame, raw: str) -> DataFrame:
     """Parse structured resumes and list what is wrong with each; rows with errors
     are the quarantine, to be run again after a repair."""
-    parsed = df.withColumns({"parsed": F.from_json(raw, RESUME_SCHEMA), "_typed": F.when(is_json(F.col(raw)), F.try_parse_json(raw))})
-    errors = F.when(F.col("_typed").isNull(), F.array(F.lit("Invalid JSON"))).otherwise(validation_errors("_typed"))
-    return parsed.withColumn("errors", errors).withColumn("valid", F.size("errors") == 0).drop("_typed")
+    return _checked(df, raw)
 
 
 def retry_quarantine(df: DataFrame, raw: str, repair) -> DataFrame:
-    """Second pass: quarantined rows go through ``repair`` and are validated again."""
-    first = validate(df, raw)
-    again = first.filter("not valid").withColumn(raw, repair(F.col(raw))).select(*df.columns)
-    return first.filter("valid").unionByName(validate(again, raw))
+    """Second pass: quarantined rows go through ``repair`` and are validated again, in the
+    same pass over the input."""
+    names = ["parsed", "errors", "valid"]
+    first = validate(df, raw).withColumnsRenamed({n: f"_first_{n}" for n in names})
+    mended = first.withColumn(raw, F.when(F.col("_first_valid"), F.col(raw)).otherwise(repair(F.col(raw))))
+    again = _checked(mended, raw, ~F.col("_first_valid"))
+    return again.select(*df.columns, *[F.when(F.col("_first_valid"), F.col(f"_first_{n}")).otherwise(F.col(n)).alias(n) for n in names])
 
 
 # ---- section texts -----------------------------------------------------------------
