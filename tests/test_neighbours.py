@@ -1,6 +1,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 
 from pyspark.sql import functions as F
@@ -54,6 +55,35 @@ def test_distances_do_not_lose_digits_far_from_the_origin(spark):
     assert [(r["point_id"], r["distance"]) for r in got] == [(19, 0.001), (21, 0.001)]
 
 
+def plain_matches(q, p, k):
+    out = []
+    for i, v in enumerate(q):
+        exact = [sum(abs(float(x) - float(y)) for x, y in zip(v, w)) for w in p]
+        rounded = [math.floor(d * 1e6 + 0.5) / 1e6 for d in exact]
+        out += [(i, j, rounded[j]) for j in sorted(range(len(p)), key=lambda j: (rounded[j], j))[:k]]
+    return out
+
+
+@pytest.mark.parametrize("scale, shift", [(0.01, 0.0), (1e-5, 1e6), (2.0**100, 0.0)])
+def test_manhattan_in_single_precision_keeps_the_exact_lists(scale, shift):
+    r = np.random.default_rng(5)
+    p = np.round(r.normal(size=(300, 16)) * 100) * scale + shift
+    p[200:250] = p[7]  # copies
+    q = np.concatenate([p[5:9], np.round(r.normal(size=(20, 16)) * 100) * scale + shift])
+    got = list(zip(*(x.tolist() for x in N._block_matches(q, p, 6, "manhattan", None))))
+    assert got == plain_matches(q, p, 6)
+
+
+def test_manhattan_holds_no_doubles_of_all_pairs(monkeypatch):
+    # Only candidates are measured in double precision.
+    measured = []
+    exact = N._distances
+    monkeypatch.setattr(N, "_distances", lambda q, p, row, col, metric: measured.append(len(row)) or exact(q, p, row, col, metric))
+    r = np.random.default_rng(6)
+    N._block_matches(r.normal(size=(32, 8)), r.normal(size=(1000, 8)), 5, "manhattan", None)
+    assert sum(measured) < 32 * 20
+
+
 def test_vote_by_distance_and_exact_hits(spark):
     rows = [(1, 0.0, 2), (1, 0.1, 1), (1, 0.1, 1), (2, 0.5, 1), (2, 1.0, 0), (2, 1.0, 0), (3, 1.0, 1), (3, 1.0, 0)]
     df = spark.createDataFrame(rows, "query_id long, distance double, label int")
