@@ -52,20 +52,21 @@ BLOCK_PAIRS = 200_000
 #: Characters of a text taken at once.
 SLICE = 1 << 20
 
-_RUN = re.compile("[A-Za-zÀ-ÿ]+")
+#: Runs of letters that may count; spoiling makes words shorter only, so short ones never do.
+_RUN = re.compile(f"[A-Za-zÀ-ÿ]{{{LEAST_LETTERS},}}")
 _GAP = re.compile("[^A-Za-zÀ-ÿ]")
-_LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 #: Places of a letter count: a to z, then the letters from U+00C0.
 LETTERS = 26 + 64
 
 
 def runs_of(text: str) -> Iterator[list[str]]:
-    """Lower-cased runs of letters, slice by slice."""
+    """Runs of ``LEAST_LETTERS`` letters and more with A-Z lower-cased, slice by slice."""
     at = 0
     while at < len(text):
         end = _GAP.search(text, at + SLICE) if len(text) - at > SLICE else None
         stop = end.end() if end else len(text)
-        yield _RUN.findall(text[at:stop].translate(_LOWER))
+        # Lower-casing bytes changes A-Z alone.
+        yield _RUN.findall(text[at:stop].encode().lower().decode())
         at = stop
 
 
@@ -90,11 +91,12 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             start = zlib.crc32(f"{doc.as_py() or ''}:".encode())
             for runs in runs_of(text.as_py() or ""):
                 for word, n in Counter(runs).items():
-                    # Spoiling makes words shorter only, so short ones never count.
-                    if len(word) >= LEAST_LETTERS:
-                        word = spoiled(word, zlib.crc32(word.encode(), start))
-                        if len(word) >= LEAST_LETTERS:
-                            counts[word] += n
+                    h = zlib.crc32(word.encode(), start)
+                    if not h % SPOILED:
+                        word = spoiled(word, h)
+                        if len(word) < LEAST_LETTERS:
+                            continue
+                    counts[word] += n
                 if len(counts) >= BLOCK_VOCABULARY:
                     yield handed()
     if counts:

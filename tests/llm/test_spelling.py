@@ -110,3 +110,8 @@ def test_empty_table_and_clashing_columns(docs_of):
     rows = [(i, "colour colours colour colour colour colour") for i in range(10)]
     extra = docs_of(rows).withColumns({"word": F.lit("x"), "form": F.lit("y"), "leaf": F.lit(1), "role": F.lit(1)})
     assert made(extra) == brute(rows)
+
+
+def test_short_runs_are_not_handed_on():
+    text = "Abcdef ab ABCDE1ÀBCDEF Éa aBCDEFGHIJ"
+    assert [r for part in S.runs_of(text) for r in part] == ["abcdef", "Àbcdef", "abcdefghij"]
