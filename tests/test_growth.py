@@ -45,6 +45,29 @@ def test_pairs_of_many_blocks(spark, small_blocks, share):
     assert all((r["tile_lo"], r["slot_lo"], r["tile_hi"], r["slot_hi"]) == (*divmod(r["left_id"] // 3, 4), *divmod(r["right_id"] // 3, 4)) for r in got)
 
 
+def test_budget_of_placed_pairs(spark, small_blocks):
+    # Text ids, copies of an item, and a null one; errors come early in one group.
+    ids = [(g, f"i{i:02d}") for g, n in ((1, 25), (2, 9), (3, 2)) for i in range(n)] + [(1, "i03"), (1, "i03"), (2, None)]
+    pairs = P.sample_pairs(spark.createDataFrame(ids, "g long, id string"), "g", "id", 0.9, places=True)
+    wrong = F.coalesce(F.pmod(F.xxhash64("left_id", "right_id"), F.lit(4)) == 0, F.lit(True))
+    judged = pairs.withColumn("is_default", wrong)
+    placed = P.within_budget(judged, "g", at_least=3)
+    cols = ["g", "left_id", "right_id", "errors_so_far"]
+    plain = P.within_budget(judged.drop(*P.PLACE), "g", at_least=3)
+    got, want = [sorted(map(repr, x.select(*cols).collect())) for x in (placed, plain)]
+    assert got == want and 0 < len(got) < judged.count()
+    rows = judged.select("g", "left_id", "right_id", "is_default").collect()
+    for g in (1, 2, 3):
+        mine = sorted((r["left_id"] is None, r["left_id"] or "", r["right_id"] is None, r["right_id"] or "", r["is_default"]) for r in rows if r["g"] == g)
+        budget, errors, kept = max(3, len(mine) // 10), 0, 0
+        for r in mine:
+            kept += errors < budget
+            errors += r[4]
+        assert kept == sum(f"Row(g={g}," in x for x in got)
+    told = plan_of(placed)
+    assert "Exchange" not in told[: told.index("Generate")]
+
+
 def test_copies_of_an_item_share_a_place(spark, small_blocks):
     rows = [(1, i // 3) for i in range(30)] + [(None, 5), (None, 6)]
     got = P.sample_pairs(spark.createDataFrame(rows, "g long, id long"), "g", "id", 1.0, places=True).collect()
