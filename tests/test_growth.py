@@ -68,6 +68,22 @@ def test_budget_of_placed_pairs(spark, small_blocks):
     assert "Exchange" not in told[: told.index("Generate")]
 
 
+def test_comparisons_are_not_counted_before_they_are_written(spark, monkeypatch):
+    from rankloom import session
+
+    told, laid_out = [], session.laid_out
+    monkeypatch.setattr(session, "laid_out", lambda df, *a, **k: told.append(plan_of(df)) or laid_out(df, *a, **k))
+    items = spark.createDataFrame([(1, i // 2) for i in range(12)], "g long, id long")
+    pairs = P.sample_pairs(items, "g", "id", 1.0, places=True)
+    compared = P.comparisons(pairs.withColumn("answer", F.lit("Resume 1")))
+    with P.laid_pairs(compared, "g") as laid:
+        assert laid.pairs.count() == 66  # pairs of copies among them
+        got = P.fit(laid, "g", max_steps=1, tolerance=None).strengths.collect()
+    assert "HashAggregate" not in told[0][: told[0].index("Generate")]
+    # An item stands in four comparisons with every other one, and on both sides of that of its copies.
+    assert {r["item"]: r["strength"] for r in got} == pytest.approx({i: (4 * (5 - i) + 1) / (22 / 2) for i in range(6)}, abs=1e-9)
+
+
 def test_copies_of_an_item_share_a_place(spark, small_blocks):
     rows = [(1, i // 3) for i in range(30)] + [(None, 5), (None, 6)]
     got = P.sample_pairs(spark.createDataFrame(rows, "g long, id long"), "g", "id", 1.0, places=True).collect()
