@@ -84,6 +84,23 @@ def test_comparisons_are_not_counted_before_they_are_written(spark, monkeypatch)
     assert {r["item"]: r["strength"] for r in got} == pytest.approx({i: (4 * (5 - i) + 1) / (22 / 2) for i in range(6)}, abs=1e-9)
 
 
+def test_tables_in_buckets_are_written_without_a_sort(spark, monkeypatch):
+    from pyspark.sql import DataFrameWriter
+
+    from rankloom.session import laid_out
+
+    key, seen, save = "spark.sql.maxConcurrentOutputFileWriters", [], DataFrameWriter.saveAsTable
+    before = spark.conf.get(key)
+    monkeypatch.setattr(DataFrameWriter, "saveAsTable", lambda w, *a, **k: seen.append(int(spark.conf.get(key))) or save(w, *a, **k))
+    rows = spark.range(500).select(F.when(F.col("id") % 7 > 0, F.col("id") % 7).alias("g"), "id")
+    # A frame that lies otherwise has more buckets in a task than files: the rest is sorted as before.
+    for spread in (True, False):
+        with laid_out(rows, ["g", "id"], spread) as table:
+            assert sorted(map(tuple, table.collect()), key=repr) == sorted(map(tuple, rows.collect()), key=repr)
+            assert "Exchange" not in plan_of(table.groupBy("g", "id").count())
+    assert min(seen) >= 1 and spark.conf.get(key) == before
+
+
 def test_copies_of_an_item_share_a_place(spark, small_blocks):
     rows = [(1, i // 3) for i in range(30)] + [(None, 5), (None, 6)]
     got = P.sample_pairs(spark.createDataFrame(rows, "g long, id long"), "g", "id", 1.0, places=True).collect()
