@@ -31,8 +31,9 @@ SEQUENCE = 2048
 SEPARATOR = 1
 VOCABULARY = "byte_bpe_50k.json"
 RANKS = "byte_bpe_50k.tiktoken"
-#: Pieces of one length that one task ranks.
+#: Pieces of one length that are ranked together, and the bytes that they may bring along.
 CELL_ROWS = 20_000
+CELL_BYTES = 16 << 20
 
 
 class TextIds:
@@ -168,6 +169,11 @@ def slots(found: list[tuple[tuple[int, ...], int]]) -> list[tuple[int, int, int,
     return out
 
 
+def cells(histogram: dict[int, int], wide: bool) -> list[tuple[int, int]]:
+    """How many cells the pieces of each length are ranked in. A cell is sorted and held by one task, with the ids of ``wide`` pieces."""
+    return [(size, -(-n // (max(1, min(CELL_ROWS, CELL_BYTES // (4 * size))) if wide else CELL_ROWS))) for size, n in histogram.items()]
+
+
 def placed(pieces: DataFrame, length: int = SEQUENCE) -> DataFrame:
     """``pieces`` (a written table with ROW, start and length) with ``sequence_id`` and ``offset``.
 
@@ -176,8 +182,8 @@ def placed(pieces: DataFrame, length: int = SEQUENCE) -> DataFrame:
     spark = pieces.sparkSession
     histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}  # ``length`` rows at most
     plan = slots(patterns(histogram, length))
-    cells = max(1, -(-max(histogram.values(), default=1) // CELL_ROWS))
-    marked = pieces.withColumn("_cell", F.pmod(F.xxhash64(ROW, "start"), F.lit(cells)).cast("int"))
+    dealt = spark.createDataFrame(cells(histogram, "ids" in pieces.columns), "length bigint, _cells bigint")
+    marked = pieces.join(F.broadcast(dealt), "length").withColumn("_cell", F.pmod(F.xxhash64(ROW, "start"), "_cells").cast("int")).drop("_cells")
     own = Window.partitionBy("length", "_cell").orderBy(ROW, "start")
     before = Window.partitionBy("length").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
     firsts = marked.groupBy("length", "_cell").agg(F.count(F.lit(1)).alias("_n")).select("length", "_cell", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))

@@ -70,6 +70,21 @@ def test_pieces_carry_ids(docs_of):
     assert np.frombuffer(bytes(row["ids"]), "<u4").tolist() == ids_of("some words")
 
 
+def test_ranked_cells_do_not_hold_many_bytes(docs_of, monkeypatch):
+    # 20,000 whole sequences are 160 MB of ids; without ids they are few bytes.
+    assert P.cells({2048: 20_000, 10: 20_000, 11: 20_001}, True) == [(2048, 10), (10, 1), (11, 2)]
+    assert P.cells({2048: 20_000, 10: 20_000, 11: 20_001}, False) == [(2048, 1), (10, 1), (11, 2)]
+    monkeypatch.setattr(P, "CELL_BYTES", 3 * 4 * 64)
+    seen, plain = [], P.cells
+    monkeypatch.setattr(P, "cells", lambda histogram, wide: seen.append((wide, plain(histogram, wide))) or plain(histogram, wide))
+    texts = ["the cat " * (i % 90) for i in range(120)] + [None]
+    rows = [r.asDict() for r in P.packed(docs_of(list(enumerate(texts))), length=64).collect()]
+    check([r | {"ids_crc32": zlib.crc32(bytes(r["ids"]))} for r in rows], texts, 64)
+    ((wide, dealt),) = seen
+    full = sum(r["length"] == 64 for r in rows)
+    assert wide and full > 30 and dict(dealt)[64] == -(-full // 3)
+
+
 def test_repeated_and_empty(docs_of):
     rows = P.digests(docs_of([(1, "a b"), (1, "a b"), (None, "a b")])).collect()
     assert len(rows) == 3 and len({(r["sequence_id"], r["offset"]) for r in rows}) == 3
