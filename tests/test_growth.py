@@ -143,6 +143,54 @@ def test_a_step_does_not_shuffle_placed_pairs(spark):
     assert "Exchange" not in "".join(told.splitlines()[:scan])
 
 
+def test_pairs_of_a_few_passes_are_neither_written_nor_shuffled(spark, small_blocks, monkeypatch):
+    from rankloom import session
+
+    rows = [(g, 7 * i) for g, n in enumerate([2, 9, 30]) for i in range(n)] + [(5, 1), (5, 1), (5, 2), (5, 4)]
+    pairs = P.sample_pairs(spark.createDataFrame(rows, "g long, id long"), "g", "id", 0.6, places=True)
+    compared = P.comparisons(pairs.withColumn("answer", F.when((F.col("left_id") + F.col("right_id")) % 3 == 0, "Resume 2").otherwise("Resume 1")))
+
+    def results(laid):
+        fit = P.fit(laid, "g", max_steps=4, tolerance=None)
+        found = fit.strengths, P.components(laid, "g"), P.negative_log_likelihood(laid, fit.strengths, "g")
+        return [sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in f.collect()) for f in found]
+
+    with P.laid_pairs(compared, "g") as laid:
+        want = results(laid)
+    monkeypatch.setattr(session, "laid_out", None)
+    with P.laid_pairs(compared, "g", written=False) as laid:
+        assert results(laid) == want and all(want)
+        told = plan_of(P._at_ends(laid, laid.items.withColumn("strength", F.lit(1.0)), "g", "strength"))
+    assert "Exchange" not in told[: told.index("Generate")]
+
+
+def test_queries_of_three_steps_write_items_alone(spark, tmp_path, monkeypatch):
+    from pyspark.sql import DataFrameWriter
+
+    from rankloom.plans.catalog import QUERIES
+
+    docs = spark.range(400).selectExpr("id AS doc_id", "'x' AS text", "'en' AS lang", "'web' AS source", "id * 37 % 101 AS n_chars")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.range(2).selectExpr("id AS item_id", "'y' AS text").write.parquet(f"{tmp_path}/benchmark.parquet")
+    written, parquet = [], DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "saveAsTable", None)
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda w, path, *a, **k: (parquet(w, path, *a, **k), written.append(spark.read.parquet(path).count()))[0])
+    for name in ("g11_bradley_terry_3_steps", "g13_geometric_mean", "g14_top_ten", "w8_mean_of_logs", "g12_neg_log_likelihood", "g11_fit_report"):
+        got = QUERIES[name](spark, str(tmp_path)).collect()
+        assert len(got) == {"g14_top_ten": 20, "g12_neg_log_likelihood": 2, "g11_fit_report": 2}.get(name, len(got)) and len(got) in (2, 20, 400), name
+    assert 0 < max(written) <= 400  # 13,930 pairs
+
+
+def test_written_pairs_take_less_than_a_byte(spark):
+    import os
+
+    pairs = P.sample_pairs(spark.range(3000).select((F.col("id") % 2).alias("g"), "id"), "g", "id", places=True)
+    with P.laid_pairs(P.comparisons(pairs.withColumn("answer", F.when(F.col("right_id") % 7 < 3, "Resume 2").otherwise("Resume 1"))), "g") as laid:
+        files = laid.pairs.inputFiles()
+        size, n = sum(os.path.getsize(f.removeprefix("file://").removeprefix("file:")) for f in files), laid.pairs.count()
+    assert n == 2 * int(0.35 * (1500 * 1499 // 2)) and size < n
+
+
 def test_tasks_that_count_terms_follow_the_tokens(spark, monkeypatch):
     monkeypatch.setattr(I, "TERM_ROWS", 50)
     docs = spark.range(40).select("id", F.array_repeat(F.concat(F.lit("w"), "id"), 25).alias("tokens"), F.lit(1).alias("uses"))
