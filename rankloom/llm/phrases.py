@@ -54,9 +54,10 @@ BLOCK_VOCABULARY = 1 << 18
 BLOCK_ROWS = 100_000
 #: Bytes of a text taken at once.
 SLICE = 1 << 20
-#: Bits of the filter for each frequent phrase, and its largest size in bits (32 MB).
+#: Bits of the filter for each frequent phrase, its largest size in bits (32 MB), and words of it that reach the driver as one row.
 BITS_EACH = 16
 MOST_BITS = 1 << 28
+PART_WORDS = 1 << 13
 
 #: Marks and line ends become full stops, tabs blanks.
 _MARKS = bytes.maketrans(b",;:!?\x0a\x0b\x0c\x0d\x09", b".........\x20")
@@ -194,16 +195,30 @@ def _marked(size: int):
     return run
 
 
+def _part(width: int):
+    """Words of the filter that lie next to each other, as bytes."""
+
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        bits = np.zeros(width, np.int64)
+        bits[rows["slot"].to_numpy() % width] = rows["bits"].to_numpy()
+        return pa.table({"part": pa.array([key[0].as_py()], pa.int64()), "bits": pa.array([bits.tobytes()], pa.binary())})
+
+    return run
+
+
 def bit_filter(frequent: DataFrame) -> np.ndarray:
-    """Bits of the phrases (lang, words), all of one length; MOST_BITS at most."""
+    """Bits of the phrases (lang, words), all of one length; MOST_BITS at most. Tasks put its parts together, and
+    the driver takes them in partition by partition: it holds the filter, and never a row for each word of it."""
     size = 1 << 16
     wanted = min(frequent.count() * BITS_EACH, MOST_BITS)
     while size < wanted:
         size *= 2
-    rows = frequent.select("lang", "words").mapInArrow(_marked(size), "slot bigint, bits bigint").groupBy("slot").agg(F.bit_or("bits").alias("bits")).toPandas()
-    bits = np.zeros(size // 64, np.uint64)
-    bits[rows["slot"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64).view(np.uint64)
-    return bits
+    words = frequent.select("lang", "words").mapInArrow(_marked(size), "slot bigint, bits bigint").groupBy("slot").agg(F.bit_or("bits").alias("bits"))
+    parts = words.groupBy(F.expr(f"slot div {PART_WORDS}").alias("part")).applyInArrow(_part(PART_WORDS), "part bigint, bits binary")
+    bits = np.zeros(max(size // 64, PART_WORDS), np.uint64)
+    for r in parts.toLocalIterator():
+        bits[r["part"] * PART_WORDS : (r["part"] + 1) * PART_WORDS] = np.frombuffer(r["bits"], np.uint64)
+    return bits[: size // 64]
 
 
 def frequent_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", least: int = LEAST_COUNT, max_words: int = MAX_WORDS) -> DataFrame:
@@ -219,7 +234,7 @@ def frequent_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "la
         words = F.when(phrase == "", F.array().cast("array<string>")).otherwise(F.split(phrase, " "))
         levels.append(cut_lineage(wanted.select(lang.alias("lang"), words.alias("words"), "n")))
         if bits is not None:
-            bits.unpersist()
+            bits.destroy()  # the driver's copy too
         bits = sc.broadcast(bit_filter(levels[-1].filter(F.size("words") == size))) if size < max_words else None
     out = levels[0]
     for level in levels[1:]:

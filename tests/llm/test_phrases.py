@@ -106,3 +106,21 @@ def test_empty_table_and_clashing_columns(docs_of):
     rows = [(i, "big data big data", "en") for i in range(10)]
     extra = docs_of(rows).withColumns({"gram": F.lit(1), "words": F.lit(2), "n": F.lit(3), "known": F.lit(4)})
     assert made(extra) == brute(rows)
+
+
+def test_the_driver_takes_the_filter_in_parts(spark, monkeypatch):
+    DataFrame = type(spark.range(1))
+
+    monkeypatch.setattr(P, "PART_WORDS", 64)
+    monkeypatch.setattr(DataFrame, "toPandas", None)
+    monkeypatch.setattr(DataFrame, "collect", None)
+    rows, local = [], DataFrame.toLocalIterator
+    monkeypatch.setattr(DataFrame, "toLocalIterator", lambda df, *a: (rows.append(r) or r for r in local(df, *a)))
+    words = [["w", f"x{i}"] for i in range(5000)]
+    bits = P.bit_filter(spark.createDataFrame([("en", w) for w in words], "lang string, words array<string>"))
+    h = P.phrase_hash("en", [P.np.array([P.xxhash.xxh3_64_intdigest(w[j]) for w in words], P.np.uint64) for j in range(2)])
+    want = P.np.zeros(5000 * P.BITS_EACH, bool)
+    want.resize(len(bits) * 64)
+    want[h % P.np.uint64(len(want))] = True
+    assert len(want) == 1 << 17 and (P.np.unpackbits(bits.view(P.np.uint8), bitorder="little") == want).all()
+    assert len(rows) == len(bits) // 64  # not one for each of some 1,900 words
